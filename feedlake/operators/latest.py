@@ -44,18 +44,21 @@ def with_group_max(df: DataFrame, keys: list[str], ts: str = "ts_ms", name: str
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], flag: str | None = None) -> DataFrame:
     """One row per key group by ``order``; ``flag`` tells whether the group had more rows.
 
-    At most two rows per key leave a map task, however hot the key is.
+    At most two rows per key leave a map task, however hot the key is. The window
+    partitions by the keys as one struct, so that a join on the key columns still places
+    an exchange of its own on the result: only then may adaptive execution split a skewed
+    partition of the other side, and a bucketed other side is never shuffled to match.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    rank = f"{_PREFIX}rank"
-    ranked = df.withColumn(rank, F.row_number().over(w))
+    group, rank = f"{_PREFIX}group", f"{_PREFIX}rank"
+    w = Window.partitionBy(group).orderBy(*order)
+    ranked = df.withColumn(group, F.struct(*keys)).withColumn(rank, F.row_number().over(w))
     if flag is None:
-        return ranked.filter(F.col(rank) <= 1).drop(rank)
+        return ranked.filter(F.col(rank) <= 1).drop(group, rank)
     return (
         ranked.filter(F.col(rank) <= 2)
         .withColumn(flag, F.lead(rank).over(w).isNotNull())
         .filter(F.col(rank) == 1)
-        .drop(rank)
+        .drop(group, rank)
     )
 
 

@@ -48,6 +48,7 @@ _SRC = "_fl_src"
 _HIT = "_fl_hit"
 _DUP = "_fl_dup"
 _ROW = "_fl_row"
+_KEY = "_fl_key"
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,9 @@ class MergeBuilder:
     keys: list[str] | None
     condition: Column | None
     target_alias: str
-    partitions: int | None = None
+    unique_source: bool = False
+    bucketed: bool = False
+    ambiguous_if: Column | None = None
     matched: tuple[_Clause, ...] = ()
     not_matched: _Clause | None = None
 
@@ -134,10 +137,6 @@ class MergeBuilder:
     def _only_plain_delete(self) -> bool:
         return len(self.matched) == 1 and self.matched[0].action == DELETED and self.matched[0].condition is None
 
-    def _copartition(self, reduced: DataFrame, columns: list[str]) -> DataFrame:
-        """Hash the reduced source like a table bucketed by the keys, so the table stays put."""
-        return reduced.repartition(self.partitions, *columns) if self.partitions else reduced
-
     def _kept(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c) for c in self.target.columns], F.lit(KEPT).alias(ACTION))
 
@@ -148,17 +147,20 @@ class MergeBuilder:
         source = self.source.filter(none_null(keys))
         source_keys = [f"_fl_k{i}" for i in range(len(keys))]
         if self._only_plain_delete:
-            reduced = source.select(*[F.col(k).alias(s) for k, s in zip(keys, source_keys)]).distinct()
-            reduced = self._copartition(reduced, source_keys).withColumn(_HIT, F.lit(True))
+            reduced = distinct_keys(source, keys, source_keys).withColumn(_HIT, F.lit(True))
         else:
-            reduced = first_per_key(source, keys, [F.lit(1).asc()], flag=_DUP)
-            reduced = self._copartition(reduced, keys).withColumns(
+            if self.unique_source:
+                reduced = source.withColumn(_DUP, F.lit(False))
+            else:
+                reduced = first_per_key(source, keys, [F.lit(1).asc()], flag=_DUP)
+            reduced = reduced.withColumns(
                 {**{s: F.col(k) for k, s in zip(keys, source_keys)}, **self._source_columns()}
             )
         on = all_of(F.col(f"{self.target_alias}.{k}") == F.col(s) for k, s in zip(keys, source_keys))
         joined = self._target(self.target.filter(none_null(keys))).join(reduced, on, "left_outer")
-        if not self._only_plain_delete:
-            joined = joined.filter(self._no_error(F.col(_HIT).isNotNull() & F.col(_DUP)))
+        if not self._only_plain_delete and not self.unique_source:
+            violation = F.col(_HIT).isNotNull() & F.col(_DUP) & is_true(self.ambiguous_if)
+            joined = joined.filter(self._no_error(violation))
         decided = self._apply_matched(joined, F.col(_HIT).isNotNull())
         if not any(self.target.schema[k].nullable for k in keys):
             return decided
@@ -236,24 +238,33 @@ class MergeBuilder:
                 value = clause.values.get(field.name, F.lit(None))
             columns.append(value.cast(field.dataType).alias(field.name))
         inserted = new.select(*columns, F.lit(INSERTED).alias(ACTION))
-        if self.partitions:
+        if self.bucketed:
             # Few tasks per bucket, so few files; adaptive execution splits hot buckets.
             inserted = inserted.hint("rebalance", *[F.col(k) for k in self.keys])
         return inserted
 
     def _unmatched_by_key(self, candidates: DataFrame) -> DataFrame:
         keys = self.keys
-        keyed = candidates.filter(none_null(keys))
-        wanted = self._copartition(keyed.select(*keys).distinct(), keys)
-        names = [f"_fl_t{i}" for i in range(len(keys))]
-        existing = self.target.filter(none_null(keys)).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        match = all_of(F.col(n) == F.col(k) for n, k in zip(names, keys))
+        wanted = distinct_keys(candidates.filter(none_null(keys)), keys, [f"_fl_w{i}" for i in range(len(keys))])
         # Keys the table and the source share: never more than the source has.
-        touched = existing.join(wanted, match, "left_semi")
-        new = keyed.join(touched, all_of(F.col(k) == F.col(n) for k, n in zip(keys, names)), "left_anti")
-        if not any(self.source.schema[k].nullable for k in keys):
-            return new
-        return new.union(candidates.filter(any_null(keys)))
+        names = [f"_fl_t{i}" for i in range(len(keys))]
+        touched = (
+            self.target.filter(none_null(keys))
+            .select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+            .join(wanted, all_of(F.col(n) == F.col(f"_fl_w{i}") for i, n in enumerate(names)), "left_semi")
+            .distinct()
+        )
+        # Compared as one struct: both sides get an exchange, so a skewed source can be split,
+        # and keys with a null, which ``touched`` never holds, stay unmatched.
+        kinds = [self.source.schema[k].dataType for k in keys]
+        same = F.struct(*keys) == F.struct(*[F.col(n).cast(t).alias(k) for k, n, t in zip(keys, names, kinds)])
+        return candidates.join(touched, same, "left_anti")
+
+
+def distinct_keys(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Each key once, under ``names``; duplicates are dropped map-side before they move."""
+    packed = df.select(F.struct(*[F.col(k).alias(n) for k, n in zip(keys, names)]).alias(_KEY)).distinct()
+    return packed.select(f"{_KEY}.*")
 
 
 def merge(
@@ -262,15 +273,20 @@ def merge(
     on,
     target_alias: str = "t",
     source_alias: str | None = None,
-    partitions: int | None = None,
+    unique_source: bool = False,
+    bucketed: bool = False,
+    ambiguous_if: Column | None = None,
 ) -> MergeBuilder:
     """Start a merge of ``source`` into ``target``.
 
     ``on`` is a list of key columns common to both sides (null keys never match), or a
     predicate as SQL text or Column over ``<target_alias>.<column>`` and the source's
     alias (``source_alias``, or the one given by ``source.alias(...)``). Prefer the list:
-    it lets the source be reduced per key before any row moves. ``partitions`` is the
-    bucket count of a target bucketed by the keys.
+    it lets the source be reduced per key before any row moves. ``unique_source`` vouches
+    that no key repeats in the source, and skips that check. ``bucketed`` gathers inserted
+    rows by key for a write that buckets by the keys. ``ambiguous_if`` limits the check for
+    repeated keys to source rows where it is true; the caller vouches that the other rows
+    of a key are alike in what the clauses do with them.
     """
     for name, side in (("target", target), ("source", source)):
         if side is None:
@@ -288,4 +304,4 @@ def merge(
         condition = as_condition(on, "on")
     if source_alias is not None:
         source = source.alias(source_alias)
-    return MergeBuilder(target, source, keys, condition, target_alias, partitions)
+    return MergeBuilder(target, source, keys, condition, target_alias, unique_source, bucketed, ambiguous_if)

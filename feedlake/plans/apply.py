@@ -28,9 +28,9 @@ def as_changes(feed: DataFrame) -> DataFrame:
 def effective_changes(feed: DataFrame, keys: list[str], ts: str = "ts_ms", tie_break=None) -> DataFrame:
     """What a batch does to each key: row columns, time and ``_fl_is_delete``.
 
-    Only changes with the newest time of their key count. A delete in a tie wins; other
-    ties all stay, or one row per key with ``tie_break``. Deletes without a complete key
-    can match nothing and are left out.
+    Only changes with the newest time of their key count. A delete in a tie wins, so a key
+    has either deletes or upserts; tied rows all stay, or one row per key with ``tie_break``.
+    Deletes without a complete key can match nothing and are left out.
     """
     changes = as_changes(feed)
     changes = changes.filter(F.col("op").isin(UPSERT_OPS + DELETE_OPS) & F.col(ts).isNotNull())
@@ -42,25 +42,20 @@ def effective_changes(feed: DataFrame, keys: list[str], ts: str = "ts_ms", tie_b
         order = [F.col(ts).desc(), (F.col(IS_DELETE) & ~keyless).desc(), F.col(IS_DELETE).asc()]
         order += [F.desc(c) if isinstance(c, str) else c for c in tie_break]
         return first_per_key(flagged, keys, order).filter(~(F.col(IS_DELETE) & keyless))
-    top = newest_ts(flagged, keys, ts, deleted=F.when(F.col(IS_DELETE) & ~keyless, F.col(ts)))
+    top = newest_ts(flagged, keys, ts, deleted=F.when(F.col(IS_DELETE), F.col(ts)))
+    newest = flagged.join(top, same_group(keys) & (F.col(ts) == F.col("_fl_max")), "inner")
     deleted = F.col("_fl_max_deleted").eqNullSafe(F.col("_fl_max"))
-    newest = flagged.filter(~F.col(IS_DELETE)).join(
-        top.filter(~deleted), same_group(keys) & (F.col(ts) == F.col("_fl_max")), "left_semi"
-    )
-    key_position = {k: F.col(f"_fl_k{i}") for i, k in enumerate(keys)}
-    deletes = top.filter(deleted).select(
-        *[
-            key_position.get(f.name, F.col("_fl_max") if f.name == ts else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in flagged.schema.fields
-            if f.name != IS_DELETE
-        ],
-        F.lit(True).alias(IS_DELETE),
-    )
-    return newest.unionByName(deletes)
+    counts = F.when(keyless, ~F.col(IS_DELETE)).otherwise(F.col(IS_DELETE) | ~deleted)
+    return newest.filter(counts).select(*flagged.columns)
 
 
 def merge_effective(
-    target: DataFrame, effective: DataFrame, keys: list[str], guard: str | None = None, partitions: int | None = None
+    target: DataFrame,
+    effective: DataFrame,
+    keys: list[str],
+    guard: str | None = None,
+    unique: bool = False,
+    bucketed: bool = False,
 ) -> MergeBuilder:
     """The one merge that applies ``effective_changes`` to a table.
 
@@ -71,7 +66,15 @@ def merge_effective(
     if guard is not None:
         fresh = F.col(f"t.{guard}").isNull() | (F.col(f"s.{guard}") >= F.col(f"t.{guard}"))
     return (
-        merge(target, effective, keys, source_alias="s", partitions=partitions)
+        merge(
+            target,
+            effective,
+            keys,
+            source_alias="s",
+            unique_source=unique,
+            bucketed=bucketed,
+            ambiguous_if=~F.col(f"s.{IS_DELETE}"),
+        )
         .when_matched_delete(gone & fresh)
         .when_matched_update_all(~gone & fresh)
         .when_not_matched_insert_all(~gone)
@@ -85,7 +88,6 @@ def apply_changes(
     ts: str = "ts_ms",
     tie_break=None,
     guard: str | None = None,
-    partitions: int | None = None,
 ) -> DataFrame:
     """The table after a batch: newest change per key, upserts, then deletes, in one merge.
 
@@ -93,7 +95,7 @@ def apply_changes(
     new key all are inserted. ``tie_break`` keeps one row per key instead.
     """
     effective = effective_changes(feed, keys, ts, tie_break)
-    return merge_effective(target, effective, keys, guard, partitions).to_df()
+    return merge_effective(target, effective, keys, guard, unique=tie_break is not None).to_df()
 
 
 def apply_batch(
@@ -119,8 +121,9 @@ def apply_batch(
         target = table.spark.createDataFrame([], effective.drop(IS_DELETE).schema)
     else:
         target = table.snapshot(last[0])
-    partitions = table.buckets if list(table.keys) == list(keys) else None
-    merged = merge_effective(target, effective, keys, guard, partitions)
+    merged = merge_effective(
+        target, effective, keys, guard, unique=tie_break is not None, bucketed=table.buckets is not None
+    )
     return table.commit(merged.actions(), "merge", version, batch)
 
 

@@ -148,13 +148,10 @@ class LakeTable:
     # -- changing --------------------------------------------------------------------
 
     def merge(self, source: DataFrame, condition, source_alias: str | None = None) -> TableMerge:
-        builder = merge(self.to_df(), source, condition, self.name_alias, source_alias, self._partitions(condition))
+        by_keys = isinstance(condition, (list, tuple)) and self.buckets is not None
+        builder = merge(self.to_df(), source, condition, self.name_alias, source_alias, bucketed=by_keys)
         return TableMerge(self, builder)
 
-    def _partitions(self, condition) -> int | None:
-        same = isinstance(condition, (list, tuple)) and list(condition) == list(self.keys)
-        return self.buckets if same else None
-
     def create(self, content: DataFrame, operation: str = "create") -> int:
         """Make ``content`` the next snapshot as it is."""
         if self.buckets:
