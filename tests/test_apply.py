@@ -1,0 +1,169 @@
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import rows
+from feedlake.operators.diff import snapshot_diff
+from feedlake.operators.flatten import flatten, to_envelope
+from feedlake.operators.merge import merge
+from feedlake.plans.apply import apply_changes, effective_changes, first_load
+from fixture_feeds import F1, F3, TIES_APPLIED, f1_target, feed, figures, ties, ties_target
+
+FEED = "k int, v string, op string, ts_ms long"
+ROW = "k int, v string, ts_ms long"
+
+
+def test_ties_and_nulls(spark):
+    assert rows(apply_changes(ties_target(spark), ties(spark), ["k"])) == TIES_APPLIED
+    assert rows(apply_changes(ties_target(spark), to_envelope(ties(spark)), ["k"])) == TIES_APPLIED
+    assert rows(apply_changes(ties_target(spark), ties(spark), ["k"], tie_break=["v"])) == TIES_APPLIED
+
+
+def test_equals_two_merges_in_sequence(spark):
+    from feedlake.operators.latest import latest_per_key
+
+    target, newest = ties_target(spark), latest_per_key(ties(spark), ["k"])
+    upserted = merge(target, newest.filter("op <> 'd'").drop("op"), ["k"]).when_matched_update_all()
+    upserted = upserted.when_not_matched_insert_all().to_df()
+    assert rows(merge(upserted, newest.filter("op = 'd'"), ["k"]).when_matched_delete().to_df()) == TIES_APPLIED
+
+
+def test_known_figures(spark):
+    out = apply_changes(f1_target(spark, "sf0.01"), feed(spark, "sf0.01", F1, "orders"), ["k"])
+    assert figures(out) == (12842, 11467178903268000)
+    total = out.agg(F.round(F.sum("price"), 2).alias("p"), F.countDistinct("k").alias("n")).first()
+    assert (total["p"], total["n"]) == (3227809952.87, 12842)
+
+
+def test_tied_upserts(spark):
+    tied = spark.createDataFrame([(1, "x", "u", 5), (1, "y", "u", 5)], FEED)
+    with pytest.raises(PySparkException, match="MERGE_CARDINALITY_VIOLATION"):
+        apply_changes(ties_target(spark), tied, ["k"]).collect()
+    assert rows(apply_changes(ties_target(spark).filter("k > 1"), tied, ["k"]).filter("k = 1")) == [
+        (1, "x", 5), (1, "y", 5)]
+    assert rows(apply_changes(ties_target(spark), tied, ["k"], tie_break=["v"]).filter("k = 1")) == [(1, "y", 5)]
+
+
+def test_tied_deletes_are_one_delete(spark):
+    tied = spark.createDataFrame([(1, "x", "d", 5), (1, "y", "d", 5), (1, "z", "u", 5)], FEED)
+    assert rows(apply_changes(ties_target(spark), tied, ["k"]), "k") == [(2,), (3,), (4,)]
+
+
+def test_null_keys(spark):
+    target = spark.createDataFrame([(None, "old", 1)], ROW)
+    batch = spark.createDataFrame([(None, "new", "u", 2), (None, "gone", "d", 2)], FEED)
+    assert rows(apply_changes(target, batch, ["k"])) == [(None, "new", 2), (None, "old", 1)]
+    newer_delete = spark.createDataFrame([(None, "new", "u", 2), (None, "gone", "d", 3)], FEED)
+    assert rows(apply_changes(target, newer_delete, ["k"])) == [(None, "old", 1)]
+
+
+def test_late_batch_wins_unless_guarded(spark):
+    target = spark.createDataFrame([(1, "A", 10), (2, "B", 10), (3, "C", None)], ROW)
+    late = spark.createDataFrame([(1, "a", "u", 5), (2, "b", "d", 5), (3, "c", "u", 5), (4, "d", "u", 5)], FEED)
+    assert rows(apply_changes(target, late, ["k"])) == [(1, "a", 5), (3, "c", 5), (4, "d", 5)]
+    assert rows(apply_changes(target, late, ["k"], guard="ts_ms")) == [
+        (1, "A", 10), (2, "B", 10), (3, "c", 5), (4, "d", 5)]
+
+
+def test_first_load_counts_no_deletes(spark):
+    # A tied delete does not remove the row here; apply_changes on an empty table removes it.
+    assert rows(first_load(ties(spark), ["k"]), "v") == [("a",), ("c",), ("g",), ("i",), ("k",)]
+    nothing = spark.createDataFrame([], ROW)
+    assert rows(apply_changes(nothing, ties(spark), ["k"]), "v") == [("c",), ("g",), ("i",)]
+
+
+def test_deletes_carry_no_upsert_of_their_key(spark):
+    effective = effective_changes(ties(spark), ["k"])
+    assert rows(effective.filter("_fl_is_delete"), "k", "v") == [(1, "b"), (4, "f"), (6, "j")]
+
+
+# -- properties: many generated cases run as one job, told apart by the key column c ---------
+
+keys = st.integers(0, 4)
+change = st.tuples(keys, st.sampled_from("rcud"))
+case = st.tuples(st.dictionaries(keys, st.integers(0, 9)), st.lists(change, max_size=12))
+
+
+def model(state, changes):
+    """A dict that follows the changes in time order."""
+    state = dict(state)
+    for k, v, op in changes:
+        if op == "d":
+            state.pop(k, None)
+        else:
+            state[k] = v
+    return state
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(case, min_size=20, max_size=40), st.randoms(use_true_random=False))
+def test_follows_the_model(spark, cases, rnd):
+    target, first, second, expected = [], [], [], []
+    for c, (state, changes) in enumerate(cases):
+        target += [(c, k, v, 0) for k, v in state.items()]
+        timed = [(c, k, 100 + i, op, i + 1) for i, (k, op) in enumerate(changes)]
+        cut = rnd.randint(0, len(timed))
+        first += timed[:cut]
+        second += timed[cut:]
+        final = model(state, [(k, 100 + i, op) for i, (k, op) in enumerate(changes)])
+        expected += [(c, k, v) for k, v in final.items()]
+    rnd.shuffle(first), rnd.shuffle(second)
+    schema = "c int, k int, v int, op string, ts_ms long"
+    stored = spark.createDataFrame(target, "c int, k int, v int, ts_ms long")
+    a, b = spark.createDataFrame(first, schema), spark.createDataFrame(second, schema)
+    whole = apply_changes(stored, a.union(b), ["c", "k"])
+    assert rows(whole, "c", "k", "v") == sorted(expected)
+    # Batches cut in time order come to the same; so does a batch applied twice.
+    step = spark.createDataFrame(apply_changes(stored, a, ["c", "k"]).collect(), stored.schema)
+    split = apply_changes(step, b, ["c", "k"])
+    assert rows(split, "c", "k", "v") == sorted(expected)
+    again = spark.createDataFrame(split.collect(), stored.schema)
+    assert rows(apply_changes(again, b, ["c", "k"]), "c", "k", "v") == sorted(expected)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.dictionaries(keys, st.integers(0, 2)), st.dictionaries(keys, st.integers(0, 2))),
+                min_size=20, max_size=40))
+def test_diff_then_apply_is_the_new_snapshot(spark, pairs):
+    schema = "c int, k int, v int"
+    old = spark.createDataFrame([(c, k, v) for c, (o, _) in enumerate(pairs) for k, v in o.items()], schema)
+    new = spark.createDataFrame([(c, k, v) for c, (_, n) in enumerate(pairs) for k, v in n.items()], schema)
+    diff = snapshot_diff(old, new, ["c", "k"], 7)
+    stored = old.withColumn("ts_ms", F.lit(0).cast("long"))
+    assert rows(apply_changes(stored, diff, ["c", "k"]).drop("ts_ms")) == rows(new)
+    changed = sum(len({k for k in o.keys() | n.keys() if o.get(k) != n.get(k)}) for o, n in pairs)
+    assert diff.count() == changed
+
+
+def test_diff_fixture(spark):
+    old = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    new = spark.sql(
+        """select c_custkey, c_name, c_nationkey, if(c_custkey % 4 = 0, c_acctbal + 1, c_acctbal) as c_acctbal,
+                  c_mktsegment from {old} where c_custkey % 9 <> 0
+           union all select c_custkey + 1000000, c_name, c_nationkey, c_acctbal, c_mktsegment
+           from {old} where c_custkey < 50""", old=old)
+    diff = snapshot_diff(old, new, ["c_custkey"], 1)
+    assert {r["op"]: r["count"] for r in diff.groupBy("op").count().collect()} == {"c": 50, "u": 333, "d": 167}
+    stored = old.withColumn("ts_ms", F.lit(0).cast("long"))
+    after = apply_changes(stored, diff, ["c_custkey"]).drop("ts_ms")
+    assert after.exceptAll(new).isEmpty() and new.exceptAll(after).isEmpty()
+
+
+def test_diff_nulls_and_full_load(spark):
+    old = spark.createDataFrame([(1, None), (2, "b"), (None, "x")], "k int, v string")
+    new = spark.createDataFrame([(1, None), (2, None), (None, "y")], "k int, v string")
+    diff = flatten(snapshot_diff(old, new, ["k"], 5))
+    assert rows(diff) == [(None, "x", "d", 5), (None, "y", "c", 5), (2, None, "u", 5)]
+    load = snapshot_diff(spark.createDataFrame([], old.schema), old, ["k"], 5, full_load=True)
+    assert rows(load, "op") == [("r",)] * 3
+
+
+def test_composite_key_figures(spark):
+    lines = feed(spark, "sf0.001", F3, "lineitem")
+    nothing = spark.createDataFrame([], lines.drop("op").schema)
+    out = apply_changes(nothing, lines, ["k1", "k2"])
+    assert out.count() == 4599 - 518  # kept keys less kept deletes
