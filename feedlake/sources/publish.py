@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BUCKET = "bucket"
 
@@ -44,8 +46,8 @@ def publish(
     if replace:
         columns = spark.table(table).columns
         _require_same_columns(df, columns, table)
-        writer = df.select(*columns).write.option("partitionOverwriteMode", "static")
-        writer.insertInto(table, overwrite=True)
+        with _static_overwrite(spark):
+            df.select(*columns).write.insertInto(table, overwrite=True)
         return "replaced"
     writer = df.write
     if partitions:
@@ -58,6 +60,18 @@ def publish(
 
 
 _BUCKETS_OPTION = "feedlake.buckets"
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def _static_overwrite(spark: SparkSession):
+    """Replace all partitions: in dynamic mode those without new rows would keep old ones."""
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def _bucket_count(df: DataFrame, table: str) -> int:
