@@ -118,7 +118,7 @@ def apply_batch(
     version = 0 if last is None else last[0] + 1
     effective = table.stage(effective_changes(feed, keys, ts, tie_break), version)
     if last is None:
-        target = table.spark.createDataFrame([], effective.drop(IS_DELETE).schema)
+        target = effective.drop(IS_DELETE).limit(0)
     else:
         target = table.snapshot(last[0])
     merged = merge_effective(

@@ -27,7 +27,7 @@ from feedlake.operators.rowchanges import (
     resolve,
     update_actions,
 )
-from feedlake.sources.storage import numbered_folders
+from feedlake.sources.storage import newest_folder
 
 _ROOT_PROPERTY = "feedlake.root"
 
@@ -111,8 +111,7 @@ class LakeTable:
     @property
     def version(self) -> int | None:
         """Number of the current snapshot, None before the first commit."""
-        done = numbered_folders(self.spark, f"{self.root}/commits", "version")
-        return done[-1] if done else None
+        return newest_folder(self.spark, f"{self.root}/commits", "version")
 
     def _current(self) -> int:
         version = self.version
@@ -176,12 +175,14 @@ class LakeTable:
         content = resolve(actions.observe(seen, *metric_columns()))
         self._write(content, version)
         counts = seen.get
-        record = [(operation, batch, *[int(counts[m] or 0) for m in METRICS])]
-        schema = "operation string, batch string, " + ", ".join(f"{m} bigint" for m in METRICS)
         (
-            self.spark.createDataFrame(record, schema)
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
+            self.spark.range(1, numPartitions=1)
+            .select(
+                F.lit(operation).alias("operation"),
+                F.lit(batch).cast("string").alias("batch"),
+                *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
+                F.current_timestamp().alias("committed_at"),
+            )
             .write.mode("overwrite")
             .parquet(f"{self.root}/commits/version={version}")
         )

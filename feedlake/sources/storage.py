@@ -17,14 +17,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def numbered_folders(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Numbers n of the finished folders ``<root>/<name>=<n>``, ascending."""
+def newest_folder(spark: SparkSession, root: str, name: str) -> int | None:
+    """Highest n whose folder ``<root>/<name>=<n>`` is finished, None if there is none."""
     fs, p = _path(spark, root)
     if not fs.exists(p):
-        return []
-    numbers = []
-    for status in fs.listStatus(p):
-        found = re.fullmatch(rf"{name}=(\d+)", status.getPath().getName())
-        if found and exists(spark, f"{root}/{found[0]}/_SUCCESS"):
-            numbers.append(int(found[1]))
-    return sorted(numbers)
+        return None
+    found = (re.fullmatch(rf"{name}=(\d+)", s.getPath().getName()) for s in fs.listStatus(p))
+    for number in sorted((int(m[1]) for m in found if m), reverse=True):
+        if exists(spark, f"{root}/{name}={number}/_SUCCESS"):
+            return number
+    return None
