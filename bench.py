@@ -17,8 +17,18 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake import LakeTable, TableConfig, apply_changes, latest_per_key, merge, publish, snapshot_diff, stream_apply
-from feedlake import with_group_max
+from feedlake import (
+    LakeTable,
+    Layout,
+    TableConfig,
+    apply_changes,
+    latest_per_key,
+    merge,
+    publish,
+    snapshot_diff,
+    stream_apply,
+    with_group_max,
+)
 from feedlake.checks import registry
 from feedlake.checks.images import ORDER_ROW
 from feedlake.operators.flatten import flatten, to_envelope
@@ -71,19 +81,23 @@ def main() -> None:
         "10pct": keep(orders.filter(F.col("ts_ms") >= cuts[1]), "batch_10pct"),
         "100pct": orders,
     }
+    # Changes of the keys given out last, as in a table that mostly grows.
+    top = target.agg(F.max("k")).first()[0]
+    local = keep(orders.filter(F.col("k") > top * 0.95), "batch_local")
     spark.sql(f"create database bench location '{folder}/bench'")
     after = keep(apply_changes(target, orders, ["k"]), "after")
 
-    def table(buckets: int | None = None) -> LakeTable:
+    def table(layout: Layout = Layout()) -> LakeTable:
         root = f"{folder}/table_{next(stored)}"
-        return LakeTable.at(spark, root, ["k"], buckets, "bench" if buckets else None)
+        return LakeTable.at(spark, root, layout)
 
-    plain, bucketed = table(), table(8)
-    for t in (plain, bucketed):
+    plain, bucketed = table(), table(Layout(("k",), buckets=8, database="bench"))
+    sliced = table(Layout(("k",), slices="k div 10000"))
+    for t in (plain, bucketed, sliced):
         t.create(target)
 
-    def batch_on(t: LakeTable):
-        apply_batch(t, orders, ["k"], tie_break=["st"])
+    def batch_on(t: LakeTable, batch: DataFrame = orders):
+        apply_batch(t, batch, ["k"], tie_break=["st"])
 
     def publish_replace():
         publish(after, "bench.orders", keys=["k"], buckets=8)
@@ -115,6 +129,7 @@ def main() -> None:
         "snapshot_diff": lambda: run(snapshot_diff(target, after, ["k"], 1)),
         "apply_batch_plain": lambda: batch_on(plain),
         "apply_batch_bucketed": lambda: batch_on(bucketed),
+        "apply_batch_sliced": lambda: batch_on(sliced, local),
         "publish_replace": publish_replace,
         "stream_apply_5_batches": stream,
     }

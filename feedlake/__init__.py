@@ -11,11 +11,13 @@ from feedlake.plans.config import TableConfig
 from feedlake.plans.run import run_tables
 from feedlake.plans.table import LakeTable
 from feedlake.sources.feeds import envelope, read_feed, write_raw
+from feedlake.sources.layout import Layout
 from feedlake.sources.publish import publish
 from feedlake.streaming.stream import stream_apply
 
 __all__ = [
     "LakeTable",
+    "Layout",
     "TableConfig",
     "apply_changes",
     "delete_where",

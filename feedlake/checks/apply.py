@@ -26,10 +26,10 @@ from feedlake.plans.config import TableConfig
 from feedlake.plans.run import outcomes_frame, run_tables
 from feedlake.plans.table import LakeTable
 from feedlake.sources.feeds import write_raw
+from feedlake.sources.layout import Layout
 from feedlake.streaming.stream import stream_apply
 
 ORDERS = TableConfig("sales.public.orders", ["k"], row_schema=ORDER_ROW)
-NO_ORDERS = "select null::bigint as k, null as st, null::double as price, null::bigint as ts_ms where false"
 
 
 @check("apply_changes", applied_sql(ORDER_FEED, ORDER_TARGET))
@@ -48,7 +48,15 @@ def _apply_changes_tie_break(spark, sf_dir):
 @check("apply_bucketed", applied_sql(ORDER_FEED, ORDER_TARGET))
 def _apply_bucketed(spark, sf_dir):
     folder = workspace(spark)
-    table = LakeTable.at(spark, f"{folder}/orders", ["k"], buckets=8, database=database(spark, folder))
+    table = LakeTable.at(spark, f"{folder}/orders", Layout(("k",), buckets=8, database=database(spark, folder)))
+    table.create(order_target(spark, sf_dir))
+    apply_batch(table, order_feed(spark, sf_dir), ["k"])
+    return table.to_df()
+
+
+@check("apply_sliced", applied_sql(ORDER_FEED, ORDER_TARGET))
+def _apply_sliced(spark, sf_dir):
+    table = LakeTable.at(spark, f"{workspace(spark)}/orders", Layout(("k",), slices="k div 1000"))
     table.create(order_target(spark, sf_dir))
     apply_batch(table, order_feed(spark, sf_dir), ["k"])
     return table.to_df()

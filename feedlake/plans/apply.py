@@ -109,6 +109,7 @@ def apply_batch(
 ) -> int:
     """Apply a batch to a stored table and commit; creates the table if there is none.
 
+    A sliced table is read and rewritten only where the batch falls.
     ``batch`` labels the commit. A batch whose label the newest commit bears was applied
     before the caller could note it down: it is not applied again.
     """
@@ -117,14 +118,20 @@ def apply_batch(
         return last[0]
     version = 0 if last is None else last[0] + 1
     effective = table.stage(effective_changes(feed, keys, ts, tie_break), version)
+    slices = table.layout.slices_in(effective) if table.layout.slices else None
     if last is None:
         target = effective.drop(IS_DELETE).limit(0)
     else:
-        target = table.snapshot(last[0])
+        target = table.snapshot(last[0], slices)
     merged = merge_effective(
-        target, effective, keys, guard, unique=tie_break is not None, bucketed=table.buckets is not None
+        target,
+        effective,
+        keys,
+        guard,
+        unique=tie_break is not None,
+        bucketed=table.layout.buckets is not None,
     )
-    return table.commit(merged.actions(), "merge", version, batch)
+    return table.commit(merged.actions(), "merge", version, batch, slices)
 
 
 def first_load(feed: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:

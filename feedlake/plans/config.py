@@ -15,7 +15,9 @@ class TableConfig:
     primary_keys: list[str]
     big_table: bool = False
     publish_buckets: int = 256
+    publish_view: bool = False  # publish a view of the staged snapshot, copying nothing
     staged_buckets: int | None = None
+    staged_slices: int | str | None = None
     tie_break: list[str] | None = None
     guard: str | None = None
     timestamp_cols: list[str] = field(default_factory=list)

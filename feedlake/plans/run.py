@@ -26,12 +26,17 @@ class Outcome:
 
 def publish_table(config: TableConfig, table: LakeTable, database: str) -> str:
     """Publish the current snapshot as ``<database>.<topic with . as _>``."""
+    name = f"{database}.{config.catalog_name}"
+    if config.publish_view:
+        status = "replaced" if table.spark.catalog.tableExists(name) else "created"
+        table.register(name)
+        return status
     content = normalize_timestamps(
         table.to_df(), config.timestamp_cols, config.ref_time_column, config.partition
     )
     return publish(
         content,
-        f"{database}.{config.catalog_name}",
+        name,
         partition_by=[config.partition] if config.partition else None,
         keys=list(config.primary_keys) if config.big_table else None,
         buckets=config.publish_buckets if config.big_table else None,

@@ -1,33 +1,34 @@
 """A table kept as numbered Parquet snapshots.
 
-``<root>/snapshot=<n>/`` holds the whole table after commit n. ``<root>/commits/version=<n>/``
-is one row about that commit and is written last: it makes the commit valid, so a run that
-dies half-way leaves nothing visible and the next run writes the same number again. Readers
-pin one folder; no writer touches a folder that has been committed. One writer per table.
-
-With ``buckets`` a snapshot is bucketed by the keys (and known to the catalog database as
-such), so merges and diffs read it without an exchange, whatever its size.
+``<root>/snapshot=<n>/`` holds what commit n wrote. ``<root>/commits/version=<n>/`` is one
+row about that commit, with the folders that make up the table then, and is written last:
+it makes the commit valid, so a run that dies half-way leaves nothing visible and the next
+run writes the same number again. Readers pin folders; no writer touches a folder that has
+been committed. One writer per table.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from feedlake.functions.expressions import as_condition
 from feedlake.operators.merge import MergeBuilder, merge
 from feedlake.operators.rowchanges import (
     ACTION,
     INSERTED,
+    KEPT,
     METRICS,
     delete_actions,
     metric_columns,
     resolve,
     update_actions,
 )
-from feedlake.sources.storage import newest_folder
+from feedlake.sources.layout import SLICE, Layout
+from feedlake.sources.storage import folders, newest_folder
 
 _ROOT_PROPERTY = "feedlake.root"
 
@@ -36,37 +37,31 @@ _ROOT_PROPERTY = "feedlake.root"
 class LakeTable:
     spark: SparkSession
     root: str
+    layout: Layout = Layout()
     name_alias: str = "t"
-    keys: tuple[str, ...] = ()
-    buckets: int | None = None
-    database: str | None = None
     registered: str | None = None
 
     # -- finding tables --------------------------------------------------------------
 
     @classmethod
-    def at(
-        cls, spark: SparkSession, root: str, keys=(), buckets: int | None = None, database: str | None = None
-    ) -> LakeTable:
+    def at(cls, spark: SparkSession, root: str, layout: Layout = Layout()) -> LakeTable:
         """Handle for a table that may not exist yet."""
-        if buckets and not (keys and database):
-            raise ValueError("a bucketed table needs keys and a catalog database")
-        return cls(spark, root.rstrip("/"), keys=tuple(keys), buckets=buckets, database=database)
+        return cls(spark, root.rstrip("/"), layout)
 
     @classmethod
-    def for_path(cls, spark: SparkSession, root: str, **layout) -> LakeTable:
-        table = cls.at(spark, root, **layout)
+    def for_path(cls, spark: SparkSession, root: str, layout: Layout = Layout()) -> LakeTable:
+        table = cls.at(spark, root, layout)
         if table.version is None:
             raise ValueError(f"no table at {root}")
         return table
 
     @classmethod
-    def for_name(cls, spark: SparkSession, name: str, **layout) -> LakeTable:
+    def for_name(cls, spark: SparkSession, name: str, layout: Layout = Layout()) -> LakeTable:
         """Handle for a table made known with ``register``."""
         rows = spark.sql(f"show tblproperties {name}").filter(F.col("key") == _ROOT_PROPERTY).collect()
         if not rows:
             raise ValueError(f"{name} is not a registered table")
-        return replace(cls.for_path(spark, rows[0]["value"], **layout), registered=name)
+        return replace(cls.for_path(spark, rows[0]["value"], layout), registered=name)
 
     @classmethod
     def is_table(cls, spark: SparkSession, root: str) -> bool:
@@ -74,7 +69,12 @@ class LakeTable:
 
     @classmethod
     def convert(
-        cls, spark: SparkSession, parquet_path: str, root: str, partition_schema=None, **layout
+        cls,
+        spark: SparkSession,
+        parquet_path: str,
+        root: str,
+        partition_schema=None,
+        layout: Layout = Layout(),
     ) -> LakeTable:
         """Copy an existing Parquet table to snapshot 0. ``partition_schema`` (DDL text or
         StructType) gives the types of columns kept in folder names."""
@@ -89,7 +89,7 @@ class LakeTable:
             if unknown:
                 raise ValueError(f"no partition columns {sorted(unknown)} in {parquet_path}")
             reader = reader.schema(StructType([typed.get(f.name, f) for f in kept.fields]))
-        table = cls.at(spark, root, **layout)
+        table = cls.at(spark, root, layout)
         if table.version is not None:
             raise ValueError(f"{root} already holds a table")
         table.create(reader.parquet(parquet_path), "convert")
@@ -97,10 +97,12 @@ class LakeTable:
 
     def register(self, name: str) -> LakeTable:
         """Point the catalog view ``name`` at the current snapshot."""
-        self.spark.sql(
-            f"create or replace view {name} tblproperties ('{_ROOT_PROPERTY}' = '{self.root}') "
-            f"as select * from parquet.`{self._folder(self._current())}`"
-        )
+        commit = self._commit(self._current())
+        columns = ", ".join(f"`{c}`" for c in _schema(commit).names)
+        parts = " union all ".join(f"select {columns} from parquet.`{self.root}/{f}`" for f in commit["folders"])
+        if not parts:
+            raise ValueError(f"{self.root} holds no rows to register")
+        self.spark.sql(f"create or replace view {name} tblproperties ('{_ROOT_PROPERTY}' = '{self.root}') as {parts}")
         return replace(self, registered=name)
 
     def alias(self, name: str) -> LakeTable:
@@ -119,18 +121,33 @@ class LakeTable:
             raise ValueError(f"no table at {self.root}")
         return version
 
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/snapshot={version}"
+    def _commit(self, version: int) -> Row:
+        """The one row about a commit."""
+        return self.spark.read.parquet(f"{self.root}/commits/version={version}").first()
 
     def _bucketed_name(self, version: int) -> str:
-        return f"{self.database}.{self.root.rsplit('/', 1)[-1].replace('.', '_')}__{version}"
+        return f"{self.layout.database}.{self.root.rsplit('/', 1)[-1].replace('.', '_')}__{version}"
 
-    def snapshot(self, version: int) -> DataFrame:
-        if self.buckets:
+    def snapshot(self, version: int, slices: list[int] | None = None) -> DataFrame:
+        """The table as of a commit, or the given slices of it."""
+        if self.layout.buckets:
             name = self._bucketed_name(version)
             if self.spark.catalog.tableExists(name):
                 return self.spark.table(name)
-        return self.spark.read.parquet(self._folder(version))
+        commit = self._commit(version)
+        schema, parts = _schema(commit), list(commit["folders"])
+        if slices is not None:
+            wanted = {f"{SLICE}={n}" for n in slices}
+            parts = [p for p in parts if p.rsplit("/", 1)[-1] in wanted]
+        if not parts:
+            return self.spark.createDataFrame([], schema).limit(0)
+        reader = self.spark.read
+        if any(SLICE in p for p in parts):
+            # The slice is a partition column here, so later filters on it prune folders.
+            reader = reader.option("basePath", self.root).schema(StructType(schema.fields).add(SLICE, LongType()))
+        else:
+            reader = reader.schema(schema)
+        return reader.parquet(*[f"{self.root}/{p}" for p in parts]).select(*[F.col(f"`{c}`") for c in schema.names])
 
     def to_df(self) -> DataFrame:
         return self.snapshot(self._current())
@@ -138,7 +155,7 @@ class LakeTable:
     def history(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first."""
         self._current()
-        commits = self.spark.read.parquet(f"{self.root}/commits").orderBy(F.desc("version"))
+        commits = self.spark.read.parquet(f"{self.root}/commits").drop("folders", "schema").orderBy(F.desc("version"))
         return commits if limit is None else commits.limit(limit)
 
     def show_history(self, rows: int = 20) -> None:
@@ -147,15 +164,15 @@ class LakeTable:
     # -- changing --------------------------------------------------------------------
 
     def merge(self, source: DataFrame, condition, source_alias: str | None = None) -> TableMerge:
-        by_keys = isinstance(condition, (list, tuple)) and self.buckets is not None
+        by_keys = isinstance(condition, (list, tuple)) and self.layout.buckets is not None
         builder = merge(self.to_df(), source, condition, self.name_alias, source_alias, bucketed=by_keys)
         return TableMerge(self, builder)
 
     def create(self, content: DataFrame, operation: str = "create") -> int:
         """Make ``content`` the next snapshot as it is."""
-        if self.buckets:
-            content = content.hint("rebalance", *[F.col(k) for k in self.keys])
-        return self.commit(content.withColumn(ACTION, F.lit(INSERTED)), operation)
+        if self.layout.buckets:
+            content = self.layout.gather(content)
+        return self.commit(content.withColumn(ACTION, F.lit(INSERTED)), operation, replaces=True)
 
     def delete(self, condition=None) -> int:
         return self.commit(delete_actions(self.to_df(), as_condition(condition)), "delete")
@@ -163,18 +180,47 @@ class LakeTable:
     def update(self, condition=None, set=None) -> int:
         return self.commit(update_actions(self.to_df(), set, condition), "update")
 
-    def commit(self, actions: DataFrame, operation: str, version: int | None = None, batch: str | None = None) -> int:
+    def commit(
+        self,
+        actions: DataFrame,
+        operation: str,
+        version: int | None = None,
+        batch: str | None = None,
+        slices: list[int] | None = None,
+        replaces: bool = False,
+    ) -> int:
         """Write the outcome of ``actions`` as the next snapshot and record it.
 
         The counts are observed while the snapshot is written; nothing is computed twice.
+        In a sliced table only ``slices`` (by default those with a change) are written and
+        counted, unless ``actions`` ``replaces`` the table as a whole.
         """
+        current = self.version
         if version is None:
-            current = self.version
             version = 0 if current is None else current + 1
+        schema = actions.drop(ACTION).schema
+        carried = []
+        if self.layout.slices:
+            if "snapshot" in schema.names:
+                raise ValueError("a sliced table cannot have a column named snapshot")
+            if not replaces:
+                if slices is None:
+                    slices = self.layout.slices_in(actions.filter(F.col(ACTION) != KEPT))
+                rewritten = {f"{SLICE}={n}" for n in slices}
+                if current is not None:
+                    old = self._commit(current)["folders"]
+                    carried = [f for f in old if f.rsplit("/", 1)[-1] not in rewritten]
+            actions = actions.withColumn(SLICE, self.layout.slice_of())
+            if not replaces:
+                actions = actions.filter(F.col(SLICE).isin(slices))
+            actions = self.layout.gather(actions)
         seen = Observation()
-        content = resolve(actions.observe(seen, *metric_columns()))
-        self._write(content, version)
+        self._write(resolve(actions.observe(seen, *metric_columns())), version)
         counts = seen.get
+        here = f"snapshot={version}"
+        written = [here]
+        if self.layout.slices:
+            written = [f"{here}/{f}" for f in folders(self.spark, f"{self.root}/{here}")]
         (
             self.spark.range(1, numPartitions=1)
             .select(
@@ -182,6 +228,10 @@ class LakeTable:
                 F.lit(batch).cast("string").alias("batch"),
                 *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
                 F.current_timestamp().alias("committed_at"),
+                F.lit(schema.json()).alias("schema"),
+                F.split(F.lit(",".join(carried + written)), ",").alias("folders")
+                if carried + written
+                else F.array().cast("array<string>").alias("folders"),
             )
             .write.mode("overwrite")
             .parquet(f"{self.root}/commits/version={version}")
@@ -192,16 +242,14 @@ class LakeTable:
 
     def _write(self, content: DataFrame, version: int) -> None:
         writer = content.write.mode("overwrite")
-        if not self.buckets:
-            writer.parquet(self._folder(version))
-            return
-        (
-            writer.format("parquet")
-            .bucketBy(self.buckets, *self.keys)
-            .sortBy(*self.keys)
-            .option("path", self._folder(version))
-            .saveAsTable(self._bucketed_name(version))
-        )
+        path = f"{self.root}/snapshot={version}"
+        if self.layout.buckets:
+            writer = writer.format("parquet").bucketBy(self.layout.buckets, *self.layout.keys)
+            writer.sortBy(*self.layout.keys).option("path", path).saveAsTable(self._bucketed_name(version))
+        elif self.layout.slices:
+            writer.partitionBy(SLICE).parquet(path)
+        else:
+            writer.parquet(path)
 
     def stage(self, changes: DataFrame, version: int) -> DataFrame:
         """Write a reduced batch beside the table and read it back.
@@ -216,10 +264,11 @@ class LakeTable:
     def last_batch(self) -> tuple[int, str | None] | None:
         """Number and batch label of the newest commit."""
         version = self.version
-        if version is None:
-            return None
-        row = self.spark.read.parquet(f"{self.root}/commits/version={version}").select("batch").first()
-        return version, row["batch"]
+        return None if version is None else (version, self._commit(version)["batch"])
+
+
+def _schema(commit: Row) -> StructType:
+    return StructType.fromJson(json.loads(commit["schema"]))
 
 
 @dataclass(frozen=True)

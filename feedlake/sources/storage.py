@@ -27,3 +27,9 @@ def newest_folder(spark: SparkSession, root: str, name: str) -> int | None:
         if exists(spark, f"{root}/{name}={number}/_SUCCESS"):
             return number
     return None
+
+
+def folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders in ``root``."""
+    fs, p = _path(spark, root)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())

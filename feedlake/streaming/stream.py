@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.plans.apply import apply_batch
 from feedlake.plans.config import TableConfig
 from feedlake.plans.table import LakeTable
+from feedlake.sources.layout import Layout
 from feedlake.sources.feeds import envelope, read_feed
 from feedlake.sources.storage import exists
 
@@ -84,9 +85,10 @@ def stream_apply(
 def table_of(
     spark: SparkSession, config: TableConfig, staged_prefix: str, database: str | None = None
 ) -> LakeTable:
-    """The staged table of a config; bucketed if it says so and a database is given."""
+    """The staged table of a config: sliced, bucketed (if a database is given) or neither."""
     buckets = config.staged_buckets if database else None
-    return LakeTable.at(spark, config.path(staged_prefix), config.primary_keys, buckets, database)
+    layout = Layout(tuple(config.primary_keys), buckets, database, None if buckets else config.staged_slices)
+    return LakeTable.at(spark, config.path(staged_prefix), layout)
 
 
 def _existing(table: LakeTable) -> LakeTable | None:

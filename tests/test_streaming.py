@@ -81,7 +81,7 @@ def test_batch_committed_just_before_a_failure_is_not_applied_again(spark, lake)
     land(spark, lake, [(None, "n", "c", 1)])
     label = f"{ITEMS.path(lake['checkpoints'])}#0"
     # Commit made, checkpoint not yet: as if the driver died in between.
-    table = LakeTable.at(spark, ITEMS.path(lake["staged"]), ["k"])
+    table = LakeTable.at(spark, ITEMS.path(lake["staged"]))
     apply_batch(table, spark.createDataFrame([(None, "n", "c", 1)], FEED), ["k"], batch=label)
     assert rows(run(spark, lake).to_df()) == [(None, "n", 1)]
 
@@ -105,6 +105,16 @@ def test_bucketed_staging(spark, lake, database):
     assert rows(table.to_df().groupBy("v").count()) == [("v", 40), ("w", 10)]
 
 
+def test_sliced_staging(spark, lake):
+    config = replace(ITEMS, staged_slices="k div 10")
+    land(spark, lake, [(k, "v", "c", 1) for k in range(50)])
+    run(spark, lake, config)
+    land(spark, lake, [(1, "w", "u", 2), (2, "w", "d", 2)])
+    table = run(spark, lake, config)
+    assert rows(table.to_df().groupBy("v").count()) == [("v", 48), ("w", 1)]
+    assert rows(table.history(1), "rows_kept") == [(8,)]
+
+
 def test_run_tables(spark, lake, database):
     items = TableConfig.from_dict({"topic_name": "shop.public.items", "primary_keys": ["k"], "big_table": "True"})
     empty = TableConfig.from_dict({"topic_name": "shop.public.empty", "primary_keys": ["k"]})
@@ -128,6 +138,17 @@ def test_run_tables(spark, lake, database):
     assert outcomes_frame(spark, first).count() == 4
 
 
+def test_publish_as_view_copies_nothing(spark, lake, database):
+    config = replace(ITEMS, publish_view=True)
+    for data, status in (([(1, "A", "r", 1)], "created"), ([(2, "B", "r", 2)], "replaced")):
+        land(spark, lake, data)
+        outcome = run_tables(spark, [config], lake["raw"], lake["staged"], lake["checkpoints"], database)[0]
+        assert (outcome.status, outcome.error) == (status, None)
+    published = spark.table(f"{database}.shop_public_items")
+    assert rows(published, "k") == [(1,), (2,)]
+    assert all("/staged/" in f for f in published.inputFiles())
+
+
 def test_publish_with_time_columns(spark, lake, database):
     config = replace(ITEMS, timestamp_cols=["ts_ms"], ref_time_column="ts_ms", partition="month")
     land(spark, lake, [(1, "A", "r", 0), (2, "B", "r", 2_678_400_000)])

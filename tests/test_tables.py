@@ -5,6 +5,7 @@ from conftest import plan, rows
 from feedlake.operators.diff import snapshot_diff
 from feedlake.plans.apply import apply_batch, merge_effective
 from feedlake.plans.table import LakeTable
+from feedlake.sources.layout import SLICE, Layout
 from feedlake.sources.publish import BUCKET, publish
 from fixture_feeds import TIES_APPLIED, ties, ties_target
 
@@ -102,9 +103,9 @@ def test_bucketed_table_is_merged_and_compared_without_moving_it(spark, tmp_path
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").selectExpr(
         "o_orderkey as k", "o_orderstatus as st", "1L as ts_ms")
     with pytest.raises(ValueError):
-        LakeTable.at(spark, str(tmp_path / "x"), ["k"], buckets=4)
+        Layout(("k",), buckets=4)
     # Fewer buckets than shuffle partitions: the batch must follow the table, not the reverse.
-    table = LakeTable.at(spark, str(tmp_path / "orders"), ["k"], 4, database)
+    table = LakeTable.at(spark, str(tmp_path / "orders"), Layout(("k",), 4, database))
     table.create(orders)
     changes = orders.selectExpr("k + 5000 as k", "'N' as st", "'u' as op", "2L as ts_ms")
     apply_batch(table, changes, ["k"])
@@ -126,6 +127,55 @@ def test_bucketed_table_is_merged_and_compared_without_moving_it(spark, tmp_path
     assert snapshot_diff(old, new, ["k"], 3).count() == 15000
 
 
+@pytest.mark.parametrize("slices", ["k div 10", 5])
+def test_sliced_table_rewrites_only_what_a_batch_touches(spark, tmp_path, slices):
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices=slices))
+    table.create(spark.range(50).selectExpr("cast(id as int) as k", "'a' as v", "1L as ts_ms"))
+    batch = [(3, "u", "u", 2), (4, "gone", "d", 2), (77, "new", "c", 2), (None, "n", "c", 2)]
+    assert apply_batch(table, spark.createDataFrame(batch, FEED), ["k"]) == 1
+    expected = {k: ("a", 1) for k in range(50)} | {3: ("u", 2), 77: ("new", 2), None: ("n", 2)}
+    del expected[4]
+    assert dict((k, (v, t)) for k, v, t in rows(table.to_df())) == expected
+    folders = table._commit(1)["folders"]
+    carried = [f for f in folders if f.startswith("snapshot=0/")]
+    if slices == "k div 10":
+        assert len(carried) == 4
+        assert sorted(f for f in folders if f not in carried) == [
+            f"snapshot=1/{SLICE}=-1", f"snapshot=1/{SLICE}=0", f"snapshot=1/{SLICE}=7"]
+        # Only slice 0 of the old snapshot was read: its nine kept rows are counted.
+        assert rows(table.history(1), "rows_inserted", "rows_updated", "rows_deleted", "rows_kept") == [(2, 1, 1, 8)]
+    # Emptied slices disappear; others are untouched.
+    table.delete("k < 10 or k is null")
+    assert rows(table.to_df(), "k") == sorted((k,) for k in expected if k is not None and k >= 10)
+    table.update("k = 77", {"v": "'z'"})
+    assert rows(table.to_df().filter("v = 'z'"), "k") == [(77,)]
+    table.delete()
+    assert table.to_df().count() == 0 and table.to_df().columns == ["k", "v", "ts_ms"]
+    apply_batch(table, spark.createDataFrame(batch, FEED), ["k"])
+    assert rows(table.to_df(), "k") == [(None,), (3,), (77,)]
+
+
+def test_sliced_table_merges_and_registers(spark, tmp_path, database):
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 10"))
+    table.create(spark.range(30).selectExpr("cast(id as int) as k", "'a' as v", "1L as ts_ms"))
+    table = table.register(f"{database}.t")
+    source = spark.createDataFrame([(5, "x", 2), (40, "y", 2)], ROW).alias("s")
+    table.merge(source, "t.k = s.k").when_matched_update_all().when_not_matched_insert_all().execute()
+    assert rows(spark.table(f"{database}.t").filter("v <> 'a'"), "k", "v") == [(5, "x"), (40, "y")]
+    assert spark.table(f"{database}.t").count() == 31
+    with pytest.raises(ValueError):
+        Layout(slices=3)
+    with pytest.raises(ValueError):
+        Layout(("k",), buckets=2, database="d", slices=3)
+
+
+def test_sliced_batch_reads_only_its_slices(spark, tmp_path):
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 10"))
+    table.create(spark.range(30).selectExpr("cast(id as int) as k", "'a' as v", "1L as ts_ms"))
+    assert len(table.snapshot(0, [1]).inputFiles()) < len(table.snapshot(0).inputFiles())
+    assert rows(table.snapshot(0, [1]), "k") == [(k,) for k in range(10, 20)]
+
+
 def _exchanges_over(text, leaf):
     """Exchanges on the way from the plan's root to any scan of ``leaf``."""
     path, found = [], 0
