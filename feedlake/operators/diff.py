@@ -18,25 +18,29 @@ def snapshot_diff(
     """
     columns = new.columns
     when = ts_ms if isinstance(ts_ms, Column) else F.lit(ts_ms)
+    row_type = new.select(F.struct(*columns).alias("row")).schema["row"].dataType
 
     def image(df: DataFrame, name: str) -> DataFrame:
+        # The keys also stand beside the row, plain, so a bucketed side keeps its place.
         row = F.struct(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in columns])
-        return df.select(row.alias(name))
+        return df.select(*[F.col(k).alias(f"{name}_k{i}") for i, k in enumerate(keys)], row.alias(name))
 
-    def event(df: DataFrame, after: Column, before: Column, op: Column) -> DataFrame:
-        return df.select(after.alias("after"), before.alias("before"), op.alias("op"), when.cast("long").alias("ts_ms"))
+    def events(df: DataFrame, op: Column) -> DataFrame:
+        images = [
+            (F.col(n) if n in df.columns else F.lit(None)).cast(row_type).alias(n) for n in ("after", "before")
+        ]
+        return df.select(*images, op.alias("op"), when.cast("long").alias("ts_ms"))
 
-    row_type = image(new, "after").schema["after"].dataType
-    nothing = F.lit(None).cast(row_type)
     insert = F.lit("r" if full_load else "c")
     before, after = F.col("before"), F.col("after")
     pairs = image(old.filter(none_null(keys)), "before").join(
         image(new.filter(none_null(keys)), "after"),
-        all_of(before.getField(k) == after.getField(k) for k in keys),
+        all_of(F.col(f"before_k{i}") == F.col(f"after_k{i}") for i in range(len(keys))),
         "full_outer",
     )
     op = F.when(before.isNull(), insert).when(after.isNull(), "d").otherwise("u")
-    paired = event(pairs.filter(~before.eqNullSafe(after)), after, before, op)
-    added = event(image(new.filter(any_null(keys)), "after"), after, nothing, insert)
-    removed = event(image(old.filter(any_null(keys)), "before"), nothing, before, F.lit("d"))
-    return paired.unionByName(added).unionByName(removed)
+    return (
+        events(pairs.filter(~before.eqNullSafe(after)), op)
+        .unionByName(events(image(new.filter(any_null(keys)), "after"), insert))
+        .unionByName(events(image(old.filter(any_null(keys)), "before"), F.lit("d")))
+    )

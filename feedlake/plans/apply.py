@@ -110,19 +110,16 @@ def apply_batch(
     """Apply a batch to a stored table and commit; creates the table if there is none.
 
     A sliced table is read and rewritten only where the batch falls.
-    ``batch`` labels the commit. A batch whose label the newest commit bears was applied
-    before the caller could note it down: it is not applied again.
+    ``batch`` labels the commit; ``LakeTable.has_batch`` tells whether a label was committed.
     """
-    last = table.last_batch()
-    if last is not None and batch is not None and last[1] == batch:
-        return last[0]
-    version = 0 if last is None else last[0] + 1
+    last = table.version
+    version = 0 if last is None else last + 1
     effective = table.stage(effective_changes(feed, keys, ts, tie_break), version)
     slices = table.layout.slices_in(effective) if table.layout.slices else None
     if last is None:
         target = effective.drop(IS_DELETE).limit(0)
     else:
-        target = table.snapshot(last[0], slices)
+        target = table.snapshot(last, slices)
     merged = merge_effective(
         target,
         effective,

@@ -261,10 +261,12 @@ class LakeTable:
         changes.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
-    def last_batch(self) -> tuple[int, str | None] | None:
-        """Number and batch label of the newest commit."""
-        version = self.version
-        return None if version is None else (version, self._commit(version)["batch"])
+    def has_batch(self, label: str) -> bool:
+        """Whether a commit bears this batch label."""
+        if self.version is None:
+            return False
+        commits = self.spark.read.parquet(f"{self.root}/commits")
+        return not commits.filter(F.col("batch") == label).isEmpty()
 
 
 def _schema(commit: Row) -> StructType:

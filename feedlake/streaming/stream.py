@@ -25,8 +25,9 @@ def read_feed_stream(
     max_files_per_batch: int | None = None,
 ) -> DataFrame:
     """Feed files as a stream. With ``archive``, files are moved there once a later batch
-    (or run) has passed them."""
-    reader = spark.readStream.schema(schema)
+    (or run) has passed them. Files that arrive with an old time stamp are read all the
+    same (Spark would pass over those a week older than the newest)."""
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_batch is not None:
@@ -61,14 +62,21 @@ def stream_apply(
     table = table_of(spark, config, staged_prefix, database)
     checkpoint = config.path(checkpoint_prefix)
 
+    replayed = True  # only the first batch of a run can be one that was committed before
+
     def apply(batch: DataFrame, batch_id: int) -> None:
+        nonlocal replayed
+        label = f"{checkpoint}#{batch_id}"
+        if replayed and table.has_batch(label):
+            return
+        replayed = False
         apply_batch(
             table,
             batch,
             list(config.primary_keys),
             tie_break=config.tie_break,
             guard=config.guard,
-            batch=f"{checkpoint}#{batch_id}",
+            batch=label,
         )
 
     query = (

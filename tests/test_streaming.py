@@ -59,6 +59,16 @@ def test_stream_equals_batch(spark, lake):
     assert rows(table.to_df()) == rows(apply_changes(nothing, spark.createDataFrame(changes, FEED), ["k"]))
 
 
+def test_files_with_an_old_time_stamp_are_read(spark, lake):
+    land(spark, lake, [(1, "A", "r", 1)])
+    run(spark, lake)
+    known = set(os.listdir(ITEMS.path(lake["raw"])))
+    land(spark, lake, [(2, "B", "r", 1)])
+    for name in set(os.listdir(ITEMS.path(lake["raw"]))) - known:
+        os.utime(os.path.join(ITEMS.path(lake["raw"]), name), (1_000_000_000, 1_000_000_000))
+    assert rows(run(spark, lake).to_df(), "k") == [(1,), (2,)]
+
+
 def test_other_commits_between_runs(spark, lake):
     land(spark, lake, [(1, "A", "r", 1), (2, "B", "r", 1)])
     run(spark, lake).delete("k = 1")
@@ -80,10 +90,13 @@ def test_failed_batch_is_tried_again(spark, lake):
 def test_batch_committed_just_before_a_failure_is_not_applied_again(spark, lake):
     land(spark, lake, [(None, "n", "c", 1)])
     label = f"{ITEMS.path(lake['checkpoints'])}#0"
-    # Commit made, checkpoint not yet: as if the driver died in between.
+    # Commit made, checkpoint not yet: as if the driver died in between. Then another commit.
     table = LakeTable.at(spark, ITEMS.path(lake["staged"]))
     apply_batch(table, spark.createDataFrame([(None, "n", "c", 1)], FEED), ["k"], batch=label)
-    assert rows(run(spark, lake).to_df()) == [(None, "n", 1)]
+    table.update(set={"v": "upper(v)"})
+    assert rows(run(spark, lake).to_df()) == [(None, "N", 1)]
+    land(spark, lake, [(1, "a", "c", 2)])
+    assert rows(run(spark, lake).to_df()) == [(None, "N", 1), (1, "a", 2)]
 
 
 def test_consumed_files_are_archived(spark, lake, tmp_path):
