@@ -62,6 +62,15 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], flag: str
     )
 
 
+def settle(df: DataFrame, tie_break: list[Column | str]) -> list[Column]:
+    """An order from ``tie_break`` (a name means descending), settled by all comparable
+    columns, so that a rerun picks the same row again."""
+    order = [F.desc(c) if isinstance(c, str) else c for c in tie_break]
+    named = {c for c in tie_break if isinstance(c, str)}
+    comparable = [n for n, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return order + [F.desc(n) for n in comparable if n not in named]
+
+
 def latest_per_key(
     df: DataFrame, keys: list[str], ts: str = "ts_ms", tie_break: list[Column | str] | None = None
 ) -> DataFrame:
@@ -72,7 +81,6 @@ def latest_per_key(
     """
     timed = df.filter(F.col(ts).isNotNull())
     if tie_break is not None:
-        order = [F.col(ts).desc()] + [F.desc(c) if isinstance(c, str) else c for c in tie_break]
-        return first_per_key(timed, keys, order)
+        return first_per_key(timed, keys, [F.col(ts).desc(), *settle(timed, tie_break)])
     top = newest_ts(timed, keys, ts)
     return timed.join(top, same_group(keys) & (F.col(ts) == F.col(f"{_PREFIX}max")), "left_semi")

@@ -13,7 +13,7 @@ from feedlake.operators.flatten import (
     flatten,
     upserts,
 )
-from feedlake.operators.latest import first_per_key, latest_per_key, newest_ts, same_group
+from feedlake.operators.latest import first_per_key, latest_per_key, newest_ts, same_group, settle
 from feedlake.operators.merge import MergeBuilder, merge
 from feedlake.plans.table import LakeTable
 
@@ -40,7 +40,7 @@ def effective_changes(feed: DataFrame, keys: list[str], ts: str = "ts_ms", tie_b
     if tie_break is not None:
         # In a tie a delete comes first, unless it has no complete key to match with.
         order = [F.col(ts).desc(), (F.col(IS_DELETE) & ~keyless).desc(), F.col(IS_DELETE).asc()]
-        order += [F.desc(c) if isinstance(c, str) else c for c in tie_break]
+        order += settle(flagged, tie_break)
         return first_per_key(flagged, keys, order).filter(~(F.col(IS_DELETE) & keyless))
     top = newest_ts(flagged, keys, ts, deleted=F.when(F.col(IS_DELETE), F.col(ts)))
     newest = flagged.join(top, same_group(keys) & (F.col(ts) == F.col("_fl_max")), "inner")

@@ -16,6 +16,13 @@ def test_tie_break_keeps_one(spark):
                          (6, "j", "d", 4)]
 
 
+def test_tie_break_is_settled_by_the_other_columns(spark):
+    data = [(1, 5, f"v{i}", {"a": i}) for i in range(40)]
+    df = spark.createDataFrame(data, "k int, ts_ms long, v string, m map<string,int>")
+    picks = {latest_per_key(df.repartition(n), ["k"], tie_break=[]).first()["v"] for n in (1, 3, 7)}
+    assert picks == {"v9"}
+
+
 def test_idempotent(spark):
     once = latest_per_key(ties(spark), ["k"])
     assert rows(latest_per_key(once, ["k"])) == rows(once)
