@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def as_condition(condition, name: str = "condition") -> Column | None:
@@ -49,3 +49,13 @@ def any_null(keys: list[str]) -> Column:
 
 def none_null(keys: list[str]) -> Column:
     return all_of(F.col(k).isNotNull() for k in keys)
+
+
+def gather(rows: DataFrame, by) -> DataFrame:
+    """Rows alike in the expressions ``by`` brought together; adaptive execution splits
+    large groups and joins small ones, so files come out few and of even size."""
+    names = {f"_fl_by{i}": expression for i, expression in enumerate(by)}
+    if not names:
+        return rows
+    # The hint takes columns only.
+    return rows.withColumns(names).hint("rebalance", *[F.col(n) for n in names]).drop(*names)

@@ -16,6 +16,7 @@ execution can split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,6 +26,7 @@ from feedlake.functions.expressions import (
     any_null,
     as_assignments,
     as_condition,
+    gather,
     is_true,
     none_null,
 )
@@ -68,7 +70,7 @@ class MergeBuilder:
     condition: Column | None
     target_alias: str
     unique_source: bool = False
-    bucketed: bool = False
+    gather_by: tuple[Column, ...] = ()
     ambiguous_if: Column | None = None
     matched: tuple[_Clause, ...] = ()
     not_matched: _Clause | None = None
@@ -238,10 +240,7 @@ class MergeBuilder:
                 value = clause.values.get(field.name, F.lit(None))
             columns.append(value.cast(field.dataType).alias(field.name))
         inserted = new.select(*columns, F.lit(INSERTED).alias(ACTION))
-        if self.bucketed:
-            # Few tasks per bucket, so few files; adaptive execution splits hot buckets.
-            inserted = inserted.hint("rebalance", *[F.col(k) for k in self.keys])
-        return inserted
+        return gather(inserted, self.gather_by)
 
     def _unmatched_by_key(self, candidates: DataFrame) -> DataFrame:
         keys = self.keys
@@ -274,7 +273,7 @@ def merge(
     target_alias: str = "t",
     source_alias: str | None = None,
     unique_source: bool = False,
-    bucketed: bool = False,
+    gather_by: Sequence[Column] = (),
     ambiguous_if: Column | None = None,
 ) -> MergeBuilder:
     """Start a merge of ``source`` into ``target``.
@@ -283,8 +282,9 @@ def merge(
     predicate as SQL text or Column over ``<target_alias>.<column>`` and the source's
     alias (``source_alias``, or the one given by ``source.alias(...)``). Prefer the list:
     it lets the source be reduced per key before any row moves. ``unique_source`` vouches
-    that no key repeats in the source, and skips that check. ``bucketed`` gathers inserted
-    rows by key for a write that buckets by the keys. ``ambiguous_if`` limits the check for
+    that no key repeats in the source, and skips that check. ``gather_by`` brings inserted rows
+    together by these expressions, for a write that makes files by them; rows of the table
+    stay where they are. ``ambiguous_if`` limits the check for
     repeated keys to source rows where it is true; the caller vouches that the other rows
     of a key are alike in what the clauses do with them.
     """
@@ -304,4 +304,4 @@ def merge(
         condition = as_condition(on, "on")
     if source_alias is not None:
         source = source.alias(source_alias)
-    return MergeBuilder(target, source, keys, condition, target_alias, unique_source, bucketed, ambiguous_if)
+    return MergeBuilder(target, source, keys, condition, target_alias, unique_source, tuple(gather_by), ambiguous_if)

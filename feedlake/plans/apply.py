@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedlake.functions.expressions import any_null
 from feedlake.operators.flatten import (
@@ -55,7 +57,7 @@ def merge_effective(
     keys: list[str],
     guard: str | None = None,
     unique: bool = False,
-    bucketed: bool = False,
+    gather_by: Sequence[Column] = (),
 ) -> MergeBuilder:
     """The one merge that applies ``effective_changes`` to a table.
 
@@ -72,7 +74,7 @@ def merge_effective(
             keys,
             source_alias="s",
             unique_source=unique,
-            bucketed=bucketed,
+            gather_by=gather_by,
             ambiguous_if=~F.col(f"s.{IS_DELETE}"),
         )
         .when_matched_delete(gone & fresh)
@@ -126,9 +128,9 @@ def apply_batch(
         keys,
         guard,
         unique=tie_break is not None,
-        bucketed=table.layout.buckets is not None,
+        gather_by=table.layout.file_columns(),
     )
-    return table.commit(merged.actions(), "merge", version, batch, slices)
+    return table.commit(merged.actions(), "merge", version, batch, slices, aligned=table.staged_is_small(version))
 
 
 def first_load(feed: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
-from feedlake.functions.expressions import as_condition
+from feedlake.functions.expressions import as_condition, gather
 from feedlake.operators.merge import MergeBuilder, merge
 from feedlake.operators.rowchanges import (
     ACTION,
@@ -28,7 +28,7 @@ from feedlake.operators.rowchanges import (
     update_actions,
 )
 from feedlake.sources.layout import SLICE, Layout
-from feedlake.sources.storage import folders, newest_folder
+from feedlake.sources.storage import folders, newest_folder, size
 
 _ROOT_PROPERTY = "feedlake.root"
 
@@ -164,21 +164,21 @@ class LakeTable:
     # -- changing --------------------------------------------------------------------
 
     def merge(self, source: DataFrame, condition, source_alias: str | None = None) -> TableMerge:
-        by_keys = isinstance(condition, (list, tuple)) and self.layout.buckets is not None
-        builder = merge(self.to_df(), source, condition, self.name_alias, source_alias, bucketed=by_keys)
+        by_keys = isinstance(condition, (list, tuple)) and self.layout.buckets
+        gather_by = self.layout.file_columns() if by_keys else ()
+        builder = merge(self.to_df(), source, condition, self.name_alias, source_alias, gather_by=gather_by)
         return TableMerge(self, builder)
 
     def create(self, content: DataFrame, operation: str = "create") -> int:
         """Make ``content`` the next snapshot as it is."""
-        if self.layout.buckets:
-            content = self.layout.gather(content)
-        return self.commit(content.withColumn(ACTION, F.lit(INSERTED)), operation, replaces=True)
+        actions = gather(content, self.layout.file_columns()).withColumn(ACTION, F.lit(INSERTED))
+        return self.commit(actions, operation, replaces=True, aligned=True)
 
     def delete(self, condition=None) -> int:
-        return self.commit(delete_actions(self.to_df(), as_condition(condition)), "delete")
+        return self.commit(delete_actions(self.to_df(), as_condition(condition)), "delete", aligned=True)
 
     def update(self, condition=None, set=None) -> int:
-        return self.commit(update_actions(self.to_df(), set, condition), "update")
+        return self.commit(update_actions(self.to_df(), set, condition), "update", aligned=True)
 
     def commit(
         self,
@@ -188,12 +188,14 @@ class LakeTable:
         batch: str | None = None,
         slices: list[int] | None = None,
         replaces: bool = False,
+        aligned: bool = False,
     ) -> int:
         """Write the outcome of ``actions`` as the next snapshot and record it.
 
         The counts are observed while the snapshot is written; nothing is computed twice.
         In a sliced table only ``slices`` (by default those with a change) are written and
-        counted, unless ``actions`` ``replaces`` the table as a whole.
+        counted, unless ``actions`` ``replaces`` the table as a whole. Its rows are brought
+        together by slice first, unless they are ``aligned``: lie as they were stored.
         """
         current = self.version
         if version is None:
@@ -213,7 +215,8 @@ class LakeTable:
             actions = actions.withColumn(SLICE, self.layout.slice_of())
             if not replaces:
                 actions = actions.filter(F.col(SLICE).isin(slices))
-            actions = self.layout.gather(actions)
+            if not aligned:
+                actions = gather(actions, self.layout.file_columns())
         seen = Observation()
         self._write(resolve(actions.observe(seen, *metric_columns())), version)
         counts = seen.get
@@ -261,6 +264,14 @@ class LakeTable:
         changes.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
+    def staged_is_small(self, version: int) -> bool:
+        """Whether the staged batch is sure to be broadcast, so a merge moves no table row.
+
+        A quarter of Spark's own limit, since its estimate grows with helper columns.
+        """
+        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return size(self.spark, f"{self.root}/changes/version={version}") <= limit // 4
+
     def has_batch(self, label: str) -> bool:
         """Whether a commit bears this batch label."""
         if self.version is None:

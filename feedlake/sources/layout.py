@@ -51,10 +51,8 @@ class Layout:
             raise ValueError(f"slices={self.slices!r} makes more than {MAX_SLICES} folders; choose coarser slices")
         return [r[0] for r in found]
 
-    def gather(self, rows: DataFrame) -> DataFrame:
-        """Rows of a bucket or slice brought together, for few files; hot ones are split."""
+    def file_columns(self) -> list[Column]:
+        """What the rows of one file have in common, if anything."""
         if self.buckets:
-            return rows.hint("rebalance", *[F.col(k) for k in self.keys])
-        if self.slices:
-            return rows.hint("rebalance", F.col(SLICE))
-        return rows
+            return [F.col(k) for k in self.keys]
+        return [self.slice_of()] if self.slices else []

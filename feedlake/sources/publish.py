@@ -6,6 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from feedlake.functions.expressions import gather
+
 BUCKET = "bucket"
 
 
@@ -41,8 +43,7 @@ def publish(
         count = _bucket_count(df, table) if replace else buckets
         df = with_bucket(df, keys, count)
     if partitions:
-        # Groups rows by partition value; adaptive execution splits large groups.
-        df = df.hint("rebalance", *[F.col(p) for p in partitions])
+        df = gather(df, [F.col(p) for p in partitions])
     if replace:
         columns = spark.table(table).columns
         _require_same_columns(df, columns, table)

@@ -33,3 +33,9 @@ def folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root``."""
     fs, p = _path(spark, root)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength()

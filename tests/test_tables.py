@@ -113,7 +113,7 @@ def test_bucketed_table_is_merged_and_compared_without_moving_it(spark, tmp_path
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         effective = spark.read.parquet(f"{table.root}/changes/version=1")
-        merged = merge_effective(table.snapshot(0), effective, ["k"], bucketed=True).to_df()
+        merged = merge_effective(table.snapshot(0), effective, ["k"], gather_by=[F.col("k")]).to_df()
         assert _exchanges_over(plan(merged), "snapshot=0") == 0
         assert plan(merged).count("Bucketed: true") == 2  # whole rows once, keys once
     finally:
@@ -174,6 +174,24 @@ def test_sliced_batch_reads_only_its_slices(spark, tmp_path):
     assert rows(table.snapshot(0, [1]), "k") == [(k,) for k in range(10, 20)]
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_sliced_batch_makes_few_files(spark, tmp_path, threshold):
+    """Small batches leave table rows where they lie; large ones gather them by slice."""
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 1000"))
+    table.create(spark.range(20000).selectExpr("cast(id as int) as k", "'a' as v", "1L as ts_ms"))
+    changes = spark.range(0, 30000, 7).selectExpr("cast(id as int) as k", "'b' as v", "'u' as op", "2L as ts_ms")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        apply_batch(table, changes, ["k"])
+        assert table.staged_is_small(1) == (threshold == "10MB")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    files = [f for f in table.to_df().inputFiles()]
+    assert len(table._commit(1)["folders"]) == 30 and len(files) <= 60
+    assert table.to_df().count() == 20000 + len(range(20006, 30000, 7))
+
+
 def _exchanges_over(text, leaf):
     """Exchanges on the way from the plan's root to any scan of ``leaf``."""
     path, found = [], 0
