@@ -79,7 +79,7 @@ ROWS_PER_FILE = 1000
 
 @check(
     "bounded_file_sink",
-    f"select count(*) as n_rows, sum(ts_ms) as sum_ts_ms, 0 as files_over_cap from ({ORDER_FEED})",
+    f"select count(*) as n_rows, sum(ts_ms)::bigint as sum_ts_ms, 0::bigint as files_over_cap from ({ORDER_FEED})",
 )
 def _bounded_file_sink(spark, sf_dir):
     path = topic_path(workspace(spark), "sales.public.orders")

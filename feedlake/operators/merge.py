@@ -230,7 +230,10 @@ class MergeBuilder:
         if self.keys:
             new = self._unmatched_by_key(candidates)
         else:
-            new = candidates.join(self._target(self.target), self.condition, "left_anti")
+            # As by key: cut the table down to what the source touches before it meets the
+            # source as the side that would have to be moved.
+            touched = self._target(self.target).join(candidates, self.condition, "left_semi")
+            new = candidates.join(self._target(touched), self.condition, "left_anti")
         by_lower = {c.lower(): c for c in self.source.columns}
         columns = []
         for field in self.target.schema.fields:
@@ -282,11 +285,11 @@ def merge(
     predicate as SQL text or Column over ``<target_alias>.<column>`` and the source's
     alias (``source_alias``, or the one given by ``source.alias(...)``). Prefer the list:
     it lets the source be reduced per key before any row moves. ``unique_source`` vouches
-    that no key repeats in the source, and skips that check. ``gather_by`` brings inserted rows
-    together by these expressions, for a write that makes files by them; rows of the table
-    stay where they are. ``ambiguous_if`` limits the check for
-    repeated keys to source rows where it is true; the caller vouches that the other rows
-    of a key are alike in what the clauses do with them.
+    that no key repeats in the source, and skips that check. ``gather_by`` brings inserted
+    rows together by these expressions, for a write that makes files by them; rows of the
+    table stay where they are. ``ambiguous_if`` limits the check for repeated keys to source
+    rows where it is true; the caller vouches that the other rows of a key are alike in what
+    the clauses do with them.
     """
     for name, side in (("target", target), ("source", source)):
         if side is None:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
@@ -179,6 +181,12 @@ def test_row_changes(spark):
 def test_small_source_moves_no_table_row(spark):
     orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
     few = orders.filter("o_orderdate > '2001-07-30'")
-    builder = merge(orders, few, ["o_orderkey"]).when_matched_update_all()
-    text = plan(builder.to_df())
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "CartesianProduct" not in text
+    by_key = merge(orders, few, ["o_orderkey"]).when_matched_update_all()
+    by_predicate = merge(orders, few.alias("s"), "t.o_orderkey = s.o_orderkey").when_matched_update_all()
+    for builder in (by_key, by_predicate):
+        text = plan(builder.to_df())
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "CartesianProduct" not in text
+        # With inserts the table is still streamed past the source; only rows both share move.
+        full = builder.when_not_matched_insert_all().to_df()
+        full.write.format("noop").mode("overwrite").save()
+        assert re.search(r"BroadcastHashJoin \[o_orderkey#\d+L\], \[o_orderkey#\d+L\], LeftSemi|LeftSemi, BuildRight", plan(full))
