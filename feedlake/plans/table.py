@@ -45,23 +45,31 @@ class LakeTable:
 
     @classmethod
     def at(cls, spark: SparkSession, root: str, layout: Layout = Layout()) -> LakeTable:
-        """Handle for a table that may not exist yet."""
-        return cls(spark, root.rstrip("/"), layout)
+        """Handle for a table that may not exist yet. One that does has a layout for good:
+        it is taken over, and asking for another one is an error."""
+        table = cls(spark, root.rstrip("/"), layout)
+        version = table.version
+        if version is None:
+            return table
+        stored = Layout.from_json(table._commit(version)["layout"])
+        if layout not in (Layout(), stored):
+            raise ValueError(f"{root} is laid out as {stored}, not as {layout}")
+        return replace(table, layout=stored)
 
     @classmethod
-    def for_path(cls, spark: SparkSession, root: str, layout: Layout = Layout()) -> LakeTable:
-        table = cls.at(spark, root, layout)
+    def for_path(cls, spark: SparkSession, root: str) -> LakeTable:
+        table = cls.at(spark, root)
         if table.version is None:
             raise ValueError(f"no table at {root}")
         return table
 
     @classmethod
-    def for_name(cls, spark: SparkSession, name: str, layout: Layout = Layout()) -> LakeTable:
+    def for_name(cls, spark: SparkSession, name: str) -> LakeTable:
         """Handle for a table made known with ``register``."""
         rows = spark.sql(f"show tblproperties {name}").filter(F.col("key") == _ROOT_PROPERTY).collect()
         if not rows:
             raise ValueError(f"{name} is not a registered table")
-        return replace(cls.for_path(spark, rows[0]["value"], layout), registered=name)
+        return replace(cls.for_path(spark, rows[0]["value"]), registered=name)
 
     @classmethod
     def is_table(cls, spark: SparkSession, root: str) -> bool:
@@ -97,14 +105,40 @@ class LakeTable:
 
     def register(self, name: str) -> LakeTable:
         """Point the catalog view ``name`` at the current snapshot."""
-        commit = self._commit(self._current())
+        version = self._current()
+        commit = self._commit(version)
+        if not self.layout.slices:
+            relation = f"parquet.`{self.root}/{commit['folders'][0]}`"
+        else:
+            relation = self._slice_table(name, version, commit)
         columns = ", ".join(f"`{c}`" for c in _schema(commit).names)
-        parts = " union all ".join(f"select {columns} from parquet.`{self.root}/{f}`" for f in commit["folders"])
-        if not parts:
-            raise ValueError(f"{self.root} holds no rows to register")
-        self.spark.sql(f"create or replace view {name} tblproperties ('{_ROOT_PROPERTY}' = '{self.root}') as {parts}")
+        self.spark.sql(
+            f"create or replace view {name} tblproperties ('{_ROOT_PROPERTY}' = '{self.root}') "
+            f"as select {columns} from {relation}"
+        )
         return replace(self, registered=name)
 
+    def _slice_table(self, name: str, version: int, commit: Row) -> str:
+        """A catalog table over the folders of a snapshot, each a partition with its own place.
+
+        The one before is kept for readers of the old view; older ones are dropped from the
+        catalog, which leaves their files alone.
+        """
+        sql = self.spark.sql
+        relation = f"{name}__{version}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(commit).fields)
+        sql(f"drop table if exists {relation}")
+        sql(
+            f"create table {relation} ({columns}, {SLICE} bigint) using parquet partitioned by ({SLICE}) "
+            f"location '{self.root}/snapshot={version}'"
+        )
+        parts = [f"partition ({SLICE}={f.rsplit('=', 1)[1]}) location '{self.root}/{f}'" for f in commit["folders"]]
+        if parts:
+            sql(f"alter table {relation} add {' '.join(parts)}")
+        if version >= 2:
+            sql(f"drop table if exists {name}__{version - 2}")
+        return relation
+
     def alias(self, name: str) -> LakeTable:
         return replace(self, name_alias=name)
 
@@ -155,7 +189,7 @@ class LakeTable:
     def history(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first."""
         self._current()
-        commits = self.spark.read.parquet(f"{self.root}/commits").drop("folders", "schema").orderBy(F.desc("version"))
+        commits = self.spark.read.parquet(f"{self.root}/commits").drop("folders", "schema", "layout").orderBy(F.desc("version"))
         return commits if limit is None else commits.limit(limit)
 
     def show_history(self, rows: int = 20) -> None:
@@ -232,6 +266,7 @@ class LakeTable:
                 *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
                 F.current_timestamp().alias("committed_at"),
                 F.lit(schema.json()).alias("schema"),
+                F.lit(self.layout.to_json()).alias("layout"),
                 F.split(F.lit(",".join(carried + written)), ",").alias("folders")
                 if carried + written
                 else F.array().cast("array<string>").alias("folders"),

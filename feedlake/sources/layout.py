@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,6 +37,14 @@ class Layout:
         if self.buckets and self.slices:
             raise ValueError("a table is bucketed or sliced, not both")
 
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> Layout:
+        values = json.loads(text)
+        return cls(**{**values, "keys": tuple(values["keys"])})
+
     def slice_of(self) -> Column:
         """Slice of a row. Null results, from null keys, share slice -1."""
         if isinstance(self.slices, int):

@@ -95,7 +95,11 @@ def table_of(
 ) -> LakeTable:
     """The staged table of a config: sliced, bucketed (if a database is given) or neither."""
     buckets = config.staged_buckets if database else None
-    layout = Layout(tuple(config.primary_keys), buckets, database, None if buckets else config.staged_slices)
+    layout = Layout()
+    if buckets:
+        layout = Layout(tuple(config.primary_keys), buckets, database)
+    elif config.staged_slices:
+        layout = Layout(tuple(config.primary_keys), slices=config.staged_slices)
     return LakeTable.at(spark, config.path(staged_prefix), layout)
 
 

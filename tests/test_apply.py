@@ -167,3 +167,17 @@ def test_composite_key_figures(spark):
     nothing = spark.createDataFrame([], lines.drop("op").schema)
     out = apply_changes(nothing, lines, ["k1", "k2"])
     assert out.count() == 4599 - 518  # kept keys less kept deletes
+
+
+def test_decimal_rows_keep_their_scale(spark):
+    schema = "id int, name string, price decimal(38,10)"
+    rows_in = [(1, "Cola 2l", "5.99"), (2, "Cola 1.5l", "4.99"), (3, "Cola 600ml", "5.99")]
+    old = spark.createDataFrame(rows_in, "id int, name string, price string").selectExpr(
+        "id", "name", "cast(price as decimal(38,10)) as price")
+    assert old.schema.simpleString() == f"struct<{schema.replace(', ', ',').replace(' ', ':')}>"
+    new = old.selectExpr("id", "name", "cast(price * 2 as decimal(38,10)) as price").filter("id < 3")
+    feed_rows = snapshot_diff(old, new, ["id"], 5)
+    stored = old.withColumn("ts_ms", F.lit(0).cast("long"))
+    out = apply_changes(stored, feed_rows, ["id"])
+    assert out.schema["price"].dataType.simpleString() == "decimal(38,10)"
+    assert [(i, str(p)) for i, p in rows(out, "id", "price")] == [(1, "11.9800000000"), (2, "9.9800000000")]

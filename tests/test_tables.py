@@ -118,11 +118,13 @@ def test_bucketed_table_is_merged_and_compared_without_moving_it(spark, tmp_path
         assert plan(merged).count("Bucketed: true") == 2  # whole rows once, keys once
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    # Without a catalog entry the same files are read as plain Parquet.
-    assert rows(LakeTable.for_path(spark, table.root).to_df()) == rows(table.to_df())
     diff = snapshot_diff(table.snapshot(0), table.snapshot(1), ["k"], 3)
     assert "Exchange" not in plan(diff)
     assert diff.count() == 15000
+    # Without a catalog entry the same files are read as plain Parquet.
+    known = rows(table.to_df())
+    spark.sql(f"drop table {database}.orders__1")
+    assert rows(LakeTable.for_path(spark, table.root).to_df()) == known
 
 
 @pytest.mark.parametrize("slices", ["k div 10", 5])
@@ -161,12 +163,34 @@ def test_sliced_table_merges_and_registers(spark, tmp_path, database):
     table.merge(source, "t.k = s.k").when_matched_update_all().when_not_matched_insert_all().execute()
     assert rows(spark.table(f"{database}.t").filter("v <> 'a'"), "k", "v") == [(5, "x"), (40, "y")]
     assert spark.table(f"{database}.t").count() == 31
+    assert plan(spark.table(f"{database}.t")).count("FileScan") == 1
+    table = LakeTable.for_name(spark, f"{database}.t")
+    table.update("k = 5", {"v": "'z'"})
+    table.delete("k < 5 or k > 5")
+    assert rows(spark.table(f"{database}.t"), "k", "v") == [(5, "z")]
+    table.delete()
+    assert spark.table(f"{database}.t").count() == 0
+    assert {t.name for t in spark.catalog.listTables(database)} == {"t", "t__3", "t__4"}
+    assert rows(table.snapshot(1), "k")[-1] == (40,)  # catalog entries went, files did not
     with pytest.raises(ValueError):
         Layout(slices=3)
     with pytest.raises(ValueError):
         Layout(("k",), buckets=2, database="d", slices=3)
 
 
+def test_a_table_keeps_its_layout(spark, tmp_path):
+    root = str(tmp_path / "t")
+    LakeTable.at(spark, root, Layout(("k",), slices="k div 10")).create(ties_target(spark))
+    # Slices cut otherwise would not find the stored rows.
+    for other in (Layout(("k",), slices="k div 100"), Layout(("k",), slices=10)):
+        with pytest.raises(ValueError, match="laid out"):
+            LakeTable.at(spark, root, other)
+    for table in (LakeTable.at(spark, root), LakeTable.for_path(spark, root)):
+        assert table.layout == Layout(("k",), slices="k div 10")
+    apply_batch(LakeTable.at(spark, root), ties(spark), ["k"])
+    assert rows(LakeTable.at(spark, root).to_df()) == TIES_APPLIED
+
+
 def test_sliced_batch_reads_only_its_slices(spark, tmp_path):
     table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 10"))
     table.create(spark.range(30).selectExpr("cast(id as int) as k", "'a' as v", "1L as ts_ms"))
