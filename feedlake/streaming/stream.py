@@ -45,21 +45,21 @@ def stream_apply(
     max_files_per_batch: int | None = None,
     database: str | None = None,
 ) -> LakeTable | None:
-    """Apply all files that have arrived for one table; None if none ever has.
+    """Apply all files that have arrived for one table; None if there is no table then.
 
     Returns when the backlog is done (``availableNow``); run it again on a timer.
     """
     raw = config.path(raw_prefix)
+    table = table_of(spark, config, staged_prefix, database)
     if not exists(spark, raw):
-        return None
+        return _existing(table)
     if config.row_schema is not None:
         schema = envelope(config.row_schema)
     else:
         sample = read_feed(spark, raw)
         if sample is None:
-            return _existing(table_of(spark, config, staged_prefix, database))
+            return _existing(table)
         schema = sample.schema
-    table = table_of(spark, config, staged_prefix, database)
     checkpoint = config.path(checkpoint_prefix)
 
     replayed = True  # only the first batch of a run can be one that was committed before

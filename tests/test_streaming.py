@@ -151,6 +151,15 @@ def test_run_tables(spark, lake, database):
     assert outcomes_frame(spark, first).count() == 4
 
 
+def test_stored_table_is_published_without_new_data(spark, lake, database):
+    land(spark, lake, [(1, "A", "r", 1)])
+    run(spark, lake)
+    nothing_new = {**lake, "raw": lake["raw"] + "_gone"}
+    outcome = run_tables(spark, [ITEMS], nothing_new["raw"], lake["staged"], lake["checkpoints"], database)[0]
+    assert (outcome.status, outcome.version) == ("created", 0)
+    assert rows(spark.table(f"{database}.shop_public_items")) == [(1, "A", 1)]
+
+
 def test_publish_as_view_copies_nothing(spark, lake, database):
     config = replace(ITEMS, publish_view=True)
     for data, status in (([(1, "A", "r", 1)], "created"), ([(2, "B", "r", 2)], "replaced")):
