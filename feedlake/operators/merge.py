@@ -114,6 +114,10 @@ class MergeBuilder:
         if missing:
             raise ValueError(f"the source lacks table columns {missing}")
 
+    def updates(self) -> list[dict[str, Column] | None]:
+        """Assignments of the update clause, if there is one; None stands for all columns."""
+        return [c.values for c in self.matched if c.action == UPDATED]
+
     # -- results -------------------------------------------------------------------
 
     def actions(self) -> DataFrame:

@@ -212,7 +212,14 @@ class LakeTable:
         return self.commit(delete_actions(self.to_df(), as_condition(condition)), "delete", aligned=True)
 
     def update(self, condition=None, set=None) -> int:
-        return self.commit(update_actions(self.to_df(), set, condition), "update", aligned=True)
+        actions = update_actions(self.to_df(), set, condition)
+        moves = self.moves_keys(set)
+        return self.commit(actions, "update", replaces=moves, aligned=not moves)
+
+    def moves_keys(self, set: dict) -> bool:
+        """Whether an assignment may carry rows from one slice to another."""
+        assigned = {c.lower() for c in set}
+        return bool(self.layout.slices) and any(k.lower() in assigned for k in self.layout.keys)
 
     def commit(
         self,
@@ -226,9 +233,10 @@ class LakeTable:
     ) -> int:
         """Write the outcome of ``actions`` as the next snapshot and record it.
 
-        The counts are observed while the snapshot is written; nothing is computed twice.
-        In a sliced table only ``slices`` (by default those with a change) are written and
-        counted, unless ``actions`` ``replaces`` the table as a whole. Its rows are brought
+        The counts are observed while the snapshot is written, in the same job.
+        In a sliced table only ``slices`` (by default those with a change, found first) are
+        written and counted, unless ``actions`` ``replaces`` the table as a whole, as it must
+        if it changes the keys of stored rows. Its rows are brought
         together by slice first, unless they are ``aligned``: lie as they were stored.
         """
         current = self.version
@@ -346,4 +354,14 @@ class TableMerge:
 
     def execute(self) -> int:
         """Commit the merge; returns the new version."""
-        return self.table.commit(self.builder.actions(), "merge")
+        return self.table.commit(self.builder.actions(), "merge", replaces=self._moves_keys())
+
+    def _moves_keys(self) -> bool:
+        layout = self.table.layout
+        for values in self.builder.updates():
+            if values is not None:
+                if self.table.moves_keys(values):
+                    return True
+            elif layout.slices and not set(layout.keys) <= set(self.builder.keys or ()):
+                return True  # all columns are taken from a source row with maybe other keys
+        return False

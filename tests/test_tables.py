@@ -178,6 +178,21 @@ def test_sliced_table_merges_and_registers(spark, tmp_path, database):
         Layout(("k",), buckets=2, database="d", slices=3)
 
 
+def test_rows_of_a_sliced_table_may_change_their_keys(spark, tmp_path):
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 10"))
+    table.create(spark.createDataFrame([(1, "a", 0), (11, "b", 0), (21, "c", 0)], ROW))
+    table.update("v = 'a'", {"K": "k + 100"})
+    assert rows(table.to_df(), "k", "v") == [(11, "b"), (21, "c"), (101, "a")]
+    source = spark.createDataFrame([(31, "b", 1), (41, "c", 1)], ROW).alias("s")
+    table.merge(source, "t.v = s.v").when_matched_update_all().execute()
+    assert rows(table.to_df(), "k", "v") == [(31, "b"), (41, "c"), (101, "a")]
+    table.merge(source, "t.v = s.v").when_matched_update(set={"k": "t.k + 10"}).execute()
+    assert rows(table.to_df(), "k", "v") == [(41, "b"), (51, "c"), (101, "a")]
+    table.merge(source, ["v"]).when_matched_update(set={"ts_ms": "5"}).execute()
+    assert rows(table.to_df()) == [(41, "b", 5), (51, "c", 5), (101, "a", 0)]
+    assert len([f for f in table._commit(4)["folders"] if f.startswith("snapshot=3/")]) == 1
+
+
 def test_a_table_keeps_its_layout(spark, tmp_path):
     root = str(tmp_path / "t")
     LakeTable.at(spark, root, Layout(("k",), slices="k div 10")).create(ties_target(spark))
