@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 from feedlake.llm.common import narrow
 
 #: Stretches of text, and of ids, that a Python worker remembers before it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 #: Distinct pieces that one DuckDB query handles.
-BLOCK_PIECES = 40_000
+BLOCK_PIECES = 30_000
 #: Bytes of text, and ids, that are handled at once.
-BLOCK_BYTES = 8 << 20
-BLOCK_IDS = 4_000_000
+BLOCK_BYTES = 2 << 20
+BLOCK_IDS = 1_000_000
 
 #: A round per contraction: the rows of every piece that still has a pair to contract.
 _ENCODE = """
@@ -216,8 +216,14 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, ids array<int>) per row; ``ranks_path`` must exist on every executor."""
+def encode(
+    df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """(``id_col``, ids array<int>) per row; ``ranks_path`` must exist on every executor.
+
+    With ``decoded`` also the bytes that the ids decode to, made in the same pass, so that a task
+    keeps one worker and one vocabulary.
+    """
     rows = narrow(df, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,10 +234,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             for first, last in _blocks(sizes, BLOCK_BYTES):
                 flat, lengths = c.encode(texts.slice(first, last - first).to_pylist())
                 at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(at, flat)], [id_col, "ids"])
+                columns = [batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(at, flat)]
+                if decoded:
+                    columns.append(pa.array(c.decode(flat, lengths), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "ids", "decoded"][: len(columns)])
 
     kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -258,8 +267,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
 def token_digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document its token count and the digests of its ids and of the bytes they decode to."""
-    decoded = decode(encode(df, ranks_path, pattern), ranks_path, pattern)
-    return decoded.select(
+    return encode(df, ranks_path, pattern, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
