@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,3 +43,19 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_bpe.token_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query("op4_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op04_substring_dedup import remove_repeats
+
+    left = remove_repeats(table(spark, sf_dir, "documents"), size=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op06_suffix_dedup import remove_repeats
+
+    left = remove_repeats(table(spark, sf_dir, "documents"), size=400)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
