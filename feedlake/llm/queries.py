@@ -59,3 +59,30 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     left = remove_repeats(table(spark, sf_dir, "documents"), size=400)
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_quality_ordinal")
+def quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm import op02_quality as op
+
+    docs = table(spark, sf_dir, "documents")
+    model = op.train(docs, op.ratings(table(spark, sf_dir, "labels")), grades=3)
+    tails = F.col("_tails")
+    return op.grade(docs, model).select(
+        "doc_id", (tails[0] + tails[1]).alias("expected_grade"), tails[0].alias("p_at_least_1"), tails[1].alias("p_at_least_2"), (tails[1] >= 0.5).alias("kept")
+    )
+
+
+@query("op3_decontaminate")
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op03_decontaminate import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from feedlake.llm import op04_substring_dedup as by_word, op06_suffix_dedup as by_byte, windows
+from frames import frame  # noqa: F401
 from feedlake.llm.suffixes import FMIndex, common_prefixes, lay_out, suffix_array
 
 SIZE = {by_word: 6, by_byte: 20}
