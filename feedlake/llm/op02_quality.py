@@ -4,8 +4,11 @@ One weight vector over hashed features of a text gives its score s; ordered thre
 t_0 < t_1 < ... give P(grade <= k) = logistic(t_k - s). So all grades share the weights, and a
 text has an expected grade and a tail probability P(grade >= k), by which it is selected.
 
-Features: each different word of a text counts once, however long the text; the shapes of its
-space-separated tokens (case, digits, punctuation with runs collapsed) count by their share.
+Features: each different word of a text counts once, however long the text; for the shapes of
+its space-separated tokens (case, digits, punctuation with runs collapsed) and for words that
+repeat the word before, the step of their share on a fixed scale. Only features whose texts are
+rated below the mean get weights: they mark defects, and a long text cannot outvote one by
+many good words.
 The model is fitted on the driver by Adam over at most ``max_rows`` rated texts, those whose
 ids hash lowest, sent there as feature numbers; everything else is one pass over all texts,
 without a shuffle.
@@ -24,13 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, chunks, words
+from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, chunks, mix, words
 
 BITS = 20
-#: A feature gets a weight if this share of the rated texts has it: rarer ones are learnt by heart.
-LEAST_SHARE = 0.005
-#: Share of tokens of one shape is multiplied by this.
-SHAPE_SCALE = 8.0
+#: A feature gets a weight if so many rated texts have it, and if their mean grade is so many
+#: standard errors below that of all.
+LEAST_TEXTS, LEAST_ERRORS = 5, 4.0
+#: Steps of a share.
+SHARES = np.array([0.01, 0.03, 0.1, 0.3, 0.6])
 
 _letters = np.arange(256)
 #: What bytes look like: A upper case, a lower case, 0 digit, u beyond ASCII; others stay.
@@ -56,14 +60,18 @@ def features(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep[inner[inner < len(keep)]] = True
     at = np.concatenate([[0], np.cumsum(keep)])[chunk.at]
     shape = words(Chunk(chunk.first, chunk.last, looks[keep], at), PLAIN, PLAIN_WORD)
-    skey, count = np.unique(shape.text_of().astype(np.uint64) << np.uint64(BITS) | (shape.hash >> np.uint64(64 - BITS)), return_counts=True)
-    stext, sfeature = (skey >> np.uint64(BITS)).astype(np.int64), (skey & mask).astype(np.int64) + (1 << BITS)
-    share = SHAPE_SCALE * count / np.maximum(np.bincount(shape.text_of(), minlength=n), 1)[stext]
+    own = w.text_of()
+    again = np.flatnonzero((w.hash[1:] == w.hash[:-1]) & (own[1:] == own[:-1]))
+    kind = np.concatenate([shape.hash, np.zeros(len(again), np.uint64)])
+    of = np.concatenate([shape.text_of(), own[again]])
+    skey, count = np.unique(of.astype(np.uint64) << np.uint64(BITS) | (kind >> np.uint64(64 - BITS)), return_counts=True)
+    stext = (skey >> np.uint64(BITS)).astype(np.int64)
+    step = np.searchsorted(SHARES, count / np.maximum(np.diff(shape.at), 1)[stext])
+    sfeature = (mix(skey & mask | step.astype(np.uint64) << np.uint64(BITS)) & mask).astype(np.int64) + (1 << BITS)
 
     text, feature = np.concatenate([text, stext]), np.concatenate([feature, sfeature])
-    value = np.concatenate([np.ones(len(key)), share]).astype(np.float32)
     order = np.argsort(text, kind="stable")
-    return text[order], feature[order], value[order]
+    return text[order], feature[order], np.ones(len(text), np.float32)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -82,11 +90,13 @@ class Ordinal:
         return _logistic(score[:, None] - self.thresholds[None, :])
 
 
-def fit(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 200, decay: float = 0.02) -> Ordinal:
+def fit(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 300, decay: float = 0.3) -> Ordinal:
     """Least negative log-likelihood with a ridge, by Adam; ``text`` numbers the rows of ``grade``."""
     size, n = 2 << BITS, len(grade)
     seen = np.bincount(feature, minlength=size)
-    kept = seen[feature] >= max(4, LEAST_SHARE * n)
+    apart = np.bincount(feature, (grade - grade.mean())[text], minlength=size) if n else np.zeros(size)
+    telling = (seen >= LEAST_TEXTS) & (-apart >= LEAST_ERRORS * np.sqrt(seen) * (grade.std() if n else 1))
+    kept = telling[feature]
     text, feature, value = text[kept], feature[kept], value[kept]
     used, place = np.unique(feature, return_inverse=True)
     w = np.zeros(len(used))

@@ -86,3 +86,13 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op9_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op09_line_dedup import dedup_lines
+
+    left = dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
