@@ -96,3 +96,17 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query("op1_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op01_jaccard_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op7_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op07_embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
