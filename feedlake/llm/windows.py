@@ -27,13 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from feedlake.llm.common import stage
-from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, Rolling, chunks, words
+from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, Rolling, chunks, mix, words
 
 #: Units that a shard takes; super-windows of one anchor that a shard takes.
 SHARD_UNITS = {"word": 200_000, "byte": 1_000_000}
 
-#: What marks a text: rows equal in id and text are one text that occurs twice.
-TEXT_KEY = ("d", "h")
+#: Fingerprints are merged in so many buckets, by their first bits.
+BUCKET_BITS = 8
+MARKS = pa.list_(pa.int64())
+PLACES = pa.list_(pa.struct([("i", pa.int32()), ("d", pa.int64()), ("h", pa.int32()), ("start", pa.int32())]))
+
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -155,68 +158,84 @@ def _strings(held: pa.Array, unit: str) -> list[np.ndarray]:
     return [np.array([ids.setdefault(x, len(ids) + 1) for x in one], np.int64) for one in split]
 
 
+def _marks(table: pa.Table, unit: str, size: int, repeated: list[np.ndarray], single: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the windows of anchors dealt over several shards: sorted different fingerprints, and
+    for those that this shard has once, in a text of its own, the string and window it is."""
+    shared = np.flatnonzero(np.asarray(table["parts"].combine_chunks()) > 1)
+    anchor = np.asarray(table["anchor"].combine_chunks()).view(np.uint64)
+    mark, string, window, is_open = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for i in shared:
+        data = np.frombuffer(table["held"][int(i)].as_py(), np.uint8)
+        grams = Rolling(units(Chunk(0, 1, data, np.array([0, len(data)])), unit)[0]).grams(size)
+        mark.append(mix(grams ^ anchor[i]))
+        string.append(np.full(len(grams), i))
+        window.append(np.arange(len(grams)))
+        is_open.append(~repeated[i] & single[i])
+    mark, string, window, is_open = map(np.concatenate, (mark, string, window, is_open))
+    _, first, counts = np.unique(mark, return_index=True, return_counts=True)
+    return mark[first], string[first], window[first], is_open[first] & (counts == 1)
+
+
 def _judged(cut: DataFrame, unit: str, size: int, judge: Judge) -> DataFrame:
-    """Ranges (d, h, start, stop) of repeated windows' units, and fingerprints of the windows of
-    anchors that several shards share (fp not null; open where no other is known yet)."""
+    """Ranges (d, h, start, stop) of the units of repeated windows; and, for anchors that several
+    shards share, lists of fingerprints (marks, in order) with the places of those (at, by their
+    place in the list) that are unique so far: one row per shard and bucket of fingerprints."""
+    kind = "d long, h int, start int, stop int, bucket int, marks array<long>, at array<struct<i:int,d:long,h:int,start:int>>"
 
     def run(table: pa.Table) -> pa.Table:
         single = np.asarray(table["c"].combine_chunks()) == 1
-        strings = _strings(table["held"].combine_chunks(), unit)
-        repeated = judge(strings, single, size)
-        shared = np.asarray(table["parts"].combine_chunks()) > 1
+        repeated = judge(_strings(table["held"].combine_chunks(), unit), single, size)
+        d, h = table["d"].combine_chunks(), table["h"].combine_chunks()
         start = np.asarray(table["start"].combine_chunks(), np.int64)
-        row, low, high, fp, is_open = [], [], [], [], []
-        for i, hit in enumerate(repeated):
-            if single[i]:
-                edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-                begin, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                row += [i] * len(begin)
-                low += (start[i] + begin).tolist()
-                high += (start[i] + stop + size - 1).tolist()
-                fp += [None] * len(begin)
-                is_open += [False] * len(begin)
-            if shared[i]:
-                held = table["held"][i].as_py()
-                if unit == "byte":
-                    marks = Rolling(np.frombuffer(held, np.uint8)).grams(size)
-                else:
-                    data = np.frombuffer(held, np.uint8)
-                    marks = Rolling(words(Chunk(0, 1, data, np.array([0, len(data)])), PLAIN, PLAIN_WORD).hash).grams(size)
-                marks = marks.view(np.int64)
-                row += [i] * len(marks)
-                low += (start[i] + np.arange(len(marks))).tolist()
-                high += (start[i] + np.arange(len(marks)) + size).tolist()
-                fp += marks.tolist()
-                is_open += (~hit & single[i]).tolist()
-        took = pa.array(row, pa.int64())
-        return pa.table(
-            {
-                "d": table["d"].take(took), "h": table["h"].take(took), "start": pa.array(low, pa.int32()), "stop": pa.array(high, pa.int32()),
-                "anchor": table["anchor"].take(took), "part": table["part"].take(took), "fp": pa.array(fp, pa.int64()), "open": pa.array(is_open, pa.bool_()),
-            }
+        row, low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(single):
+            edge = np.diff(np.concatenate([[0], repeated[i].astype(np.int8), [0]]))
+            begin, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            row.append(np.full(len(begin), i)), low.append(start[i] + begin), high.append(start[i] + stop + size - 1)
+        took = pa.array(np.concatenate(row))
+        none = pa.nulls(len(took))
+        ranges = {"d": d.take(took), "h": h.take(took), "start": pa.array(np.concatenate(low).astype(np.int32)), "stop": pa.array(np.concatenate(high).astype(np.int32)), "bucket": none.cast(pa.int32()), "marks": none.cast(MARKS), "at": none.cast(PLACES)}
+        mark, string, window, is_open = _marks(table, unit, size, repeated, single)
+        bucket = (mark >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        kept = np.unique(bucket)
+        at = np.searchsorted(bucket, kept, "left")
+        some = np.flatnonzero(is_open)
+        places = pa.StructArray.from_arrays(
+            [
+                pa.array((some - at[np.searchsorted(kept, bucket[some])]).astype(np.int32)), d.take(pa.array(string[some])), h.take(pa.array(string[some])), pa.array((start[string[some]] + window[some]).astype(np.int32)),
+            ],
+            ["i", "d", "h", "start"],
         )
+        ends = np.concatenate([at, [len(mark)]])
+        lists = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(mark.view(np.int64)))
+        where = pa.ListArray.from_arrays(np.searchsorted(some, ends).astype(np.int32), places)
+        none = pa.nulls(len(kept))
+        marks = {"d": none.cast(pa.int64()), "h": none.cast(pa.int32()), "start": none.cast(pa.int32()), "stop": none.cast(pa.int32()), "bucket": pa.array(kept.astype(np.int32)), "marks": lists, "at": where.cast(PLACES)}
+        return pa.concat_tables([pa.table(ranges), pa.table(marks)])
 
-    return stage(cut.groupBy("shard").applyInArrow(run, "d long, h int, start int, stop int, anchor long, part int, fp long, open boolean"))
+    return stage(cut.groupBy("shard").applyInArrow(run, kind))
 
 
-def _merged(judged: DataFrame, unit: str) -> DataFrame:
+def _merged(judged: DataFrame, size: int) -> DataFrame:
     """Ranges whose windows are unique in their own shard, but not among the shards of their anchor.
 
-    Each shard gives each fingerprint once, so it is repeated if two shards have it. Fingerprints
-    are dealt by value, laid out in order, and each open one is looked up by binary search.
+    Each shard lists a fingerprint once, so it is repeated if two lists have it: the lists of a
+    bucket are merged in order, and each open fingerprint is looked up by binary search.
     """
-    marks = judged.where("fp is not null")
-    once = marks.groupBy("anchor", "fp", "part").agg(F.max("open").alias("open"), F.max(F.when(F.col("open"), F.struct("d", "h", "start", "stop"))).alias("at"))
-    dealt = once.withColumn("bucket", F.pmod(F.xxhash64("anchor", "fp"), F.lit(4096)).cast("int")).select("bucket", F.xxhash64("anchor", "fp").alias("mark"), "open", "at")
 
     def run(table: pa.Table) -> pa.Table:
-        mark = np.asarray(table["mark"].combine_chunks())
-        ordered = np.sort(mark)
-        n = np.searchsorted(ordered, mark, "right") - np.searchsorted(ordered, mark, "left")
-        rows = table["at"].combine_chunks().filter(pa.array((n >= 2) & np.asarray(table["open"].combine_chunks().cast(pa.int8())).astype(bool)))
-        return pa.table({x: rows.field(x) for x in ("d", "h", "start", "stop")})
+        lists, at = table["marks"].combine_chunks(), table["at"].combine_chunks()
+        marks = np.asarray(lists.flatten()).view(np.uint64)
+        begin = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(lists)))])[:-1]
+        places = at.flatten()
+        own = marks[np.asarray(places.field("i"), np.int64) + np.repeat(begin, np.asarray(pa.compute.list_value_length(at)))]
+        ordered = np.sort(marks)
+        again = np.searchsorted(ordered, own, "right") - np.searchsorted(ordered, own, "left") >= 2
+        rows = places.filter(pa.array(again))
+        return pa.table({"d": rows.field("d"), "h": rows.field("h"), "start": rows.field("start"), "stop": pa.compute.add(rows.field("start"), pa.scalar(size, pa.int32()))})
 
-    return dealt.groupBy("bucket").applyInArrow(run, "d long, h int, start int, stop int")
+    listed = judged.where("marks is not null").select("bucket", "marks", "at")
+    return listed.groupBy("bucket").applyInArrow(run, "d long, h int, start int, stop int")
 
 
 def repeated_ranges(texts: DataFrame, unit: str, size: int, k: int, judge: Judge) -> DataFrame:
@@ -239,8 +258,8 @@ def repeated_ranges(texts: DataFrame, unit: str, size: int, k: int, judge: Judge
         .select("ref.*", "anchor", F.col("c").cast("long").alias("c"), "parts", "shard", "part")
     )
     judged = _judged(_cut(texts, wanted, unit, size), unit, size, judge)
-    sure = judged.where("fp is null").select("d", "h", "start", "stop")
-    ranges = again.union(sure).union(_merged(judged, unit))
+    sure = judged.where("marks is null").select("d", "h", "start", "stop")
+    ranges = again.union(sure).union(_merged(judged, size))
     return ranges.groupBy("d", "h").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
 
