@@ -182,8 +182,9 @@ def overlaps(threshold: float):
 
 
 def similar_documents(docs: DataFrame, threshold: float = 0.8, k: int = 5, recall: float = 0.999) -> DataFrame:
-    """Per row of ``docs``: (doc_id, d, h, class_id, n_links): the smallest id of its connected
-    group, and how many other rows it is linked with directly."""
+    """Per row of ``docs``: (doc_id, d, h, class_id, n_links, kept): the smallest id of its
+    connected group, how many other rows it is linked with directly, and whether it is the one
+    of its group that stays. (d, h) stand for id and text: rows equal in both are kept alike."""
     rows = signatures(docs, k)
     some = rows.where("n > 0")
     classes = stage(
@@ -193,11 +194,16 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, k: int = 5, recal
     wanted = stage(groups.join(classes, "node").select("node", "c", "ref.d", "ref.h"))
     counts, edges = exact_links(groups, _set_payload(docs, wanted, k), overlaps(threshold))
     linked = components(edges)
-    placed = classes.join(counts, "node", "left").join(linked, "node", "left").select("node", "check", "c", "links", "least_id", F.coalesce("component", "node").alias("part"))
-    ids = placed.groupBy("part").agg(F.min("least_id").alias("class_id"))
-    named = placed.join(ids, "part").select("node", "check", "class_id", (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("links"))
+    placed = classes.join(counts, "node", "left").join(linked, "node", "left").select("node", "check", "c", "links", "least_id", "ref", F.coalesce("component", "node").alias("part"))
+    ids = placed.groupBy("part").agg(F.min("least_id").alias("class_id"), F.min("ref").alias("stays"))
+    named = placed.join(ids, "part").select("node", "check", "class_id", "stays", (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("links"))
     out = rows.select("doc_id", "d", "h", "node", "check", "n").join(named, ["node", "check"], "left")
     alone = F.col("n") == 0
     return out.select(
-        "doc_id", "d", "h", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(0)).otherwise(F.col("links")).cast("long").alias("n_links")
+        "doc_id",
+        "d",
+        "h",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.lit(0)).otherwise(F.col("links")).cast("long").alias("n_links"),
+        (alone | (F.struct("d", "h") == F.col("stays"))).alias("kept"),
     )

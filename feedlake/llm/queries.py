@@ -138,3 +138,10 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
     return score(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

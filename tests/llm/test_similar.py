@@ -56,7 +56,9 @@ def test_sets(frame, monkeypatch, small):
     sets = [shingles(t) for t in rows]
     links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
     part = closure(links, len(rows))
-    got = {r.doc_id: (r.class_id, r.n_links) for r in by_set.similar_documents(frame(rows)).collect()}
+    found = by_set.similar_documents(frame(rows)).collect()
+    assert all(r.kept == (r.doc_id == r.class_id) for r in found)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in found}
     degree = np.bincount(np.array(links).ravel(), minlength=len(rows))
     assert got == {i: (part[i], degree[i]) for i in range(len(rows))}
 
