@@ -32,7 +32,7 @@ from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, chunks, mix, words
 BITS = 20
 #: A feature gets a weight if so many rated texts have it, and if their mean grade is so many
 #: standard errors below that of all.
-LEAST_TEXTS, LEAST_ERRORS = 5, 4.0
+LEAST_TEXTS, LEAST_ERRORS = 3, 3.0
 #: Steps of a share.
 SHARES = np.array([0.01, 0.03, 0.1, 0.3, 0.6])
 
@@ -129,7 +129,7 @@ def fit(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndar
     return Ordinal(weights, np.concatenate([[first], first + np.cumsum(gaps)]))
 
 
-def train(docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 12_000) -> Ordinal:
+def train(docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 20_000) -> Ordinal:
     """A model from ``ratings`` (doc_id, grade 0..grades-1) of ``docs``; ``max_rows`` is also the
     bound of what is broadcast to find their texts and of what the driver gets."""
     usable = ratings.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
