@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from feedlake.llm.common import narrow
 
 #: Stretches of text, and of ids, that a Python worker remembers before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 #: Distinct pieces that one DuckDB query handles.
-BLOCK_PIECES = 30_000
+BLOCK_PIECES = 40_000
 #: Bytes of text, and ids, that are handled at once.
 BLOCK_BYTES = 2 << 20
 BLOCK_IDS = 1_000_000
@@ -62,10 +62,6 @@ select run, string_agg(hex, '' order by pos) as hex
 from ids_of_runs join vocabulary on id = token group by run
 """
 
-#: Where a single space stands beside further white space, stretches are not cut at spaces.
-_UNEVEN = regex.compile(r"\s | \s")
-
-
 class Store:
     """Sequences of numbers by key, in one growing array."""
 
@@ -136,9 +132,9 @@ class Codec:
             sizes = np.bincount(got["piece"][final], minlength=len(block))
             self.pieces.put(block, got["token"][final].astype(np.int32), sizes)
 
-    def _learn(self, stretches: list[str]) -> None:
-        """Puts the ids of ``stretches`` into the store."""
-        cut = list(map(self.cut.findall, stretches))
+    def _learn(self, keys: list[str]) -> None:
+        """Puts the ids of the stretches of ``keys`` into the store."""
+        cut = [[" " + key] if key.isalpha() else self.cut.findall(key[1:] if key[:1] == " " else " " + key) for key in keys]
         flat = [piece for one in cut for piece in one]
         missing = [piece for piece in set(flat) if piece not in self.pieces.code]
         ranks = [self.ranks.get(piece.encode(), -1) for piece in missing]
@@ -147,23 +143,26 @@ class Codec:
         self._contract([piece for piece, rank in zip(missing, ranks, strict=True) if rank < 0])
         ids, sizes = self.pieces.get(flat)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, cut)])]
-        self.stretches.put(stretches, ids, np.diff(ends))
+        self.stretches.put(keys, ids, np.diff(ends))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the number of ids of each.
 
         A space between two characters that are no white space begins a piece whatever stands
-        around it, so texts are cut there first and each distinct stretch is done once.
+        around it, so texts are cut there first and each distinct stretch is done once. Its key
+        is what follows the space; or, for a stretch without one, a space and the stretch. A
+        text with other white space beside a space is cut into its pieces.
         """
-        cut: list[list[str]] = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif _UNEVEN.search(text):
-                cut.append([text] if len(text) < 64 else self.cut.findall(text))
+        cut = [text.split(" ") if text else [] for text in texts]
+        wanted = {x for one in cut for x in one}
+        uneven = {x for x in wanted if not x or x[0].isspace() or x[-1].isspace()}
+        for i, one in enumerate(cut):
+            if not one:
+                continue
+            if uneven and not uneven.isdisjoint(one):
+                cut[i] = [" " + piece for piece in self.cut.findall(texts[i])]
             else:
-                first, *rest = text.split(" ")
-                cut.append(([first] if first else []) + [" " + x for x in rest])
+                one[0] = " " + one[0]
         flat = [x for one in cut for x in one]
         wanted = set(flat)
         missing = [x for x in wanted if x not in self.stretches.code]
@@ -176,12 +175,14 @@ class Codec:
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """The bytes of texts of ``lengths`` ids each. Ids are cut where a token begins with a
-        space, and each distinct run is decoded once."""
+        space, and after every second token from there; each distinct run is decoded once."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
             raise ValueError("an id is not in the vocabulary")
         at = np.concatenate([[0], np.cumsum(lengths)])
         begins = self.spaced[ids]
         begins[at[:-1][lengths > 0]] = True
+        place = np.arange(len(ids))
+        begins |= (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
         cuts = np.concatenate([np.flatnonzero(begins), [len(ids)]])
         held, bounds = ids.tobytes(), (cuts * 4).tolist()
         runs = [held[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
