@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -44,11 +43,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def workspace(spark: SparkSession) -> str:
-    """A fresh folder in the shared folder the cluster names; a local one only if it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/feedlake-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="feedlake-")
+    """A fresh folder in the shared folder the cluster names, or else in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/feedlake-{uuid.uuid4().hex}"
 
 
 def database(spark: SparkSession, folder: str) -> str:

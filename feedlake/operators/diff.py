@@ -12,7 +12,8 @@ def snapshot_diff(
 ) -> DataFrame:
     """Envelope rows that turn ``old`` into ``new``: c, u and d, or r for a full load.
 
-    Keys must be unique in each snapshot. Equal rows give no change. Rows with a null key
+    A key that repeats in a snapshot raises SNAPSHOT_KEY_REPEATED: each side is reduced to a row
+    per key before it moves, so no key's rows meet or are paired in one task. Equal rows give no change. Rows with a null key
     cannot be paired: they come out as d (old) and c (new) without passing the join. Two
     snapshots bucketed by the keys are compared without an exchange.
     """
@@ -22,8 +23,16 @@ def snapshot_diff(
 
     def image(df: DataFrame, name: str) -> DataFrame:
         # The keys also stand beside the row, plain, so a bucketed side keeps its place.
-        row = F.struct(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in columns])
-        return df.select(*[F.col(k).alias(f"{name}_k{i}") for i, k in enumerate(keys)], row.alias(name))
+        row = F.struct(*[F.col(f"`{c}`").cast(new.schema[c].dataType).alias(c) for c in columns])
+        return df.select(*[F.col(f"`{k}`").alias(f"{name}_k{i}") for i, k in enumerate(keys)], row.alias(name))
+
+    def unique(df: DataFrame, name: str) -> DataFrame:
+        own = image(df.filter(none_null(keys)), name)
+        key = [f"{name}_k{i}" for i in range(len(keys))]
+        counted = own.groupBy(*key).agg(F.first(name).alias(name), F.count(F.lit(1)).alias("_fl_rows"))
+        repeated = F.concat(F.lit("SNAPSHOT_KEY_REPEATED: "), F.to_json(F.struct(*key)))
+        fine = F.when(F.col("_fl_rows") > 1, F.raise_error(repeated).cast("boolean")).otherwise(True)
+        return counted.filter(fine).drop("_fl_rows")
 
     def events(df: DataFrame, op: Column) -> DataFrame:
         images = [
@@ -33,8 +42,8 @@ def snapshot_diff(
 
     insert = F.lit("r" if full_load else "c")
     before, after = F.col("before"), F.col("after")
-    pairs = image(old.filter(none_null(keys)), "before").join(
-        image(new.filter(none_null(keys)), "after"),
+    pairs = unique(old, "before").join(
+        unique(new, "after"),
         all_of(F.col(f"before_k{i}") == F.col(f"after_k{i}") for i in range(len(keys))),
         "full_outer",
     )

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -144,7 +146,7 @@ class MergeBuilder:
         return len(self.matched) == 1 and self.matched[0].action == DELETED and self.matched[0].condition is None
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c) for c in self.target.columns], F.lit(KEPT).alias(ACTION))
+        return df.select(*[F.col(f"`{c}`") for c in self.target.columns], F.lit(KEPT).alias(ACTION))
 
     def _table_by_key(self) -> DataFrame:
         if not self.matched:
@@ -166,9 +168,13 @@ class MergeBuilder:
         joined = self._target(self.target.filter(none_null(keys))).join(reduced, on, "left_outer")
         if not self._only_plain_delete and not self.unique_source:
             violation = F.col(_HIT).isNotNull() & F.col(_DUP) & is_true(self.ambiguous_if)
+            if self.ambiguous_if is not None:
+                # The rows of such a key are alike, so what fires for one fires for all.
+                fires = [is_true(c.condition) for c in self.matched]
+                violation &= reduce(or_, fires)
             joined = joined.filter(self._no_error(violation))
         decided = self._apply_matched(joined, F.col(_HIT).isNotNull())
-        if not any(self.target.schema[k].nullable for k in keys):
+        if not any(f.nullable for f in self.target.select(*keys).schema.fields):
             return decided
         return decided.unionByName(self._kept(self.target.filter(any_null(keys))))
 
@@ -262,7 +268,7 @@ class MergeBuilder:
         )
         # Compared as one struct: both sides get an exchange, so a skewed source can be split,
         # and keys with a null, which ``touched`` never holds, stay unmatched.
-        kinds = [self.source.schema[k].dataType for k in keys]
+        kinds = [f.dataType for f in self.source.select(*keys).schema.fields]
         same = F.struct(*keys) == F.struct(*[F.col(n).cast(t).alias(k) for k, n, t in zip(keys, names, kinds)])
         return candidates.join(touched, same, "left_anti")
 

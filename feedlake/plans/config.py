@@ -24,11 +24,16 @@ class TableConfig:
     ref_time_column: str | None = None
     partition: str | None = None
     row_schema: StructType | None = None
+    format: str = "parquet"  # of the feed's files
 
     def __post_init__(self):
         self.alias  # checks the topic
         if not self.primary_keys:
             raise ValueError(f"{self.topic}: primary_keys is empty")
+        if self.publish_view:
+            ignored = [n for n in ("big_table", "timestamp_cols", "ref_time_column", "partition") if getattr(self, n)]
+            if ignored:
+                raise ValueError(f"{self.topic}: a published view has no effect of {ignored}")
 
     @classmethod
     def from_dict(cls, entry: dict) -> TableConfig:
@@ -39,6 +44,8 @@ class TableConfig:
         flag = values.get("big_table")
         values["big_table"] = flag.strip().lower() == "true" if isinstance(flag, str) else bool(flag)
         values["timestamp_cols"] = values.get("timestamp_cols") or []
+        if isinstance(values.get("row_schema"), str):
+            values["row_schema"] = StructType.fromDDL(values["row_schema"])
         unknown = set(values) - set(cls.__dataclass_fields__)
         if unknown:
             raise ValueError(f"unknown table settings {sorted(unknown)}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.functions.timecols import normalize_timestamps
 from feedlake.plans.config import TableConfig
 from feedlake.plans.table import LakeTable
-from feedlake.sources.publish import publish
+from feedlake.sources.publish import mark_published, publish, published_version
 from feedlake.streaming.stream import stream_apply
 
 log = logging.getLogger(__name__)
@@ -19,28 +20,39 @@ log = logging.getLogger(__name__)
 @dataclass(frozen=True)
 class Outcome:
     topic: str
-    status: str  # created, replaced, no data, failed
+    status: str  # created, replaced, unchanged, no data, failed
     version: int | None = None
     error: str | None = None
 
 
 def publish_table(config: TableConfig, table: LakeTable, database: str) -> str:
-    """Publish the current snapshot as ``<database>.<topic with . as _>``."""
+    """Publish the current snapshot as ``<database>.<topic with . as _>``.
+
+    Nothing is rewritten if that snapshot, with the same settings, was published last.
+    """
     name = f"{database}.{config.catalog_name}"
     if config.publish_view:
         status = "replaced" if table.spark.catalog.tableExists(name) else "created"
         table.register(name)
         return status
+    settings = (config.timestamp_cols, config.ref_time_column, config.partition)
+    mark = f"{table.root}#{table.version}#{hashlib.sha256(repr(settings).encode()).hexdigest()[:16]}"
+    if published_version(table.spark, name) == mark:
+        return "unchanged"
+    if table.spark.catalog.tableExists(name):
+        mark_published(table.spark, name, None)
     content = normalize_timestamps(
         table.to_df(), config.timestamp_cols, config.ref_time_column, config.partition
     )
-    return publish(
+    status = publish(
         content,
         name,
         partition_by=[config.partition] if config.partition else None,
         keys=list(config.primary_keys) if config.big_table else None,
         buckets=config.publish_buckets if config.big_table else None,
     )
+    mark_published(table.spark, name, mark)
+    return status
 
 
 def run_tables(

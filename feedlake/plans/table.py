@@ -9,6 +9,7 @@ been committed. One writer per table.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass, replace
 
@@ -28,7 +29,7 @@ from feedlake.operators.rowchanges import (
     update_actions,
 )
 from feedlake.sources.layout import SLICE, Layout
-from feedlake.sources.storage import folders, newest_folder, size
+from feedlake.sources.storage import folders, newest_folder, repeatable
 
 _ROOT_PROPERTY = "feedlake.root"
 
@@ -160,7 +161,9 @@ class LakeTable:
         return self.spark.read.parquet(f"{self.root}/commits/version={version}").first()
 
     def _bucketed_name(self, version: int) -> str:
-        return f"{self.layout.database}.{self.root.rsplit('/', 1)[-1].replace('.', '_')}__{version}"
+        # The whole root tells tables apart: their last folders may be alike.
+        mark = hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        return f"{self.layout.database}.{self.root.rsplit('/', 1)[-1].replace('.', '_')}_{mark}__{version}"
 
     def snapshot(self, version: int, slices: list[int] | None = None) -> DataFrame:
         """The table as of a commit, or the given slices of it."""
@@ -245,8 +248,9 @@ class LakeTable:
         schema = actions.drop(ACTION).schema
         carried = []
         if self.layout.slices:
-            if "snapshot" in schema.names:
-                raise ValueError("a sliced table cannot have a column named snapshot")
+            reserved = {"snapshot", SLICE} & {n.lower() for n in schema.names}
+            if reserved:
+                raise ValueError(f"a sliced table cannot have columns named {sorted(reserved)}")
             if not replaces:
                 if slices is None:
                     slices = self.layout.slices_in(actions.filter(F.col(ACTION) != KEPT))
@@ -307,14 +311,6 @@ class LakeTable:
         changes.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
-    def staged_is_small(self, version: int) -> bool:
-        """Whether the staged batch is sure to be broadcast, so a merge moves no table row.
-
-        A quarter of Spark's own limit, since its estimate grows with helper columns.
-        """
-        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return size(self.spark, f"{self.root}/changes/version={version}") <= limit // 4
-
     def has_batch(self, label: str) -> bool:
         """Whether a commit bears this batch label."""
         if self.version is None:
@@ -353,8 +349,14 @@ class TableMerge:
         return self.builder.to_df()
 
     def execute(self) -> int:
-        """Commit the merge; returns the new version."""
-        return self.table.commit(self.builder.actions(), "merge", replaces=self._moves_keys())
+        """Commit the merge; returns the new version.
+
+        The source is read once and kept in the shared folder for the commit: its clauses and
+        the two passes over a sliced table must all see the same rows, also of a source that
+        gives others each time it is read.
+        """
+        builder = replace(self.builder, source=repeatable(self.builder.source, self.table.root))
+        return self.table.commit(builder.actions(), "merge", replaces=self._moves_keys())
 
     def _moves_keys(self) -> bool:
         layout = self.table.layout

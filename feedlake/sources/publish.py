@@ -37,10 +37,15 @@ def publish(
         partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     elif keys and buckets:
         partitions.append(BUCKET)
+    hashed = _bucket_count(table, spark) is not None if replace else bool(keys and buckets)
+    if hashed and BUCKET in {c.lower() for c in df.columns}:
+        raise ValueError(f"{table}: {BUCKET} is the name of the hash bucket, and cannot be a column of the rows")
     if BUCKET in partitions and BUCKET not in df.columns:
         if not keys:
             raise ValueError(f"{table} is partitioned by {BUCKET}: keys are required")
-        count = _bucket_count(df, table) if replace else buckets
+        count = _bucket_count(table, spark) if replace else buckets
+        if count is None:
+            raise ValueError(f"{table} records no bucket count")
         df = with_bucket(df, keys, count)
     if partitions:
         df = gather(df, [F.col(p) for p in partitions])
@@ -75,15 +80,34 @@ def _static_overwrite(spark: SparkSession):
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
-def _bucket_count(df: DataFrame, table: str) -> int:
-    spark = df.sparkSession
+def _bucket_count(table: str, spark: SparkSession) -> int | None:
+    """Buckets that a published table hashes its keys into; None if it does not."""
     rows = spark.sql(f"describe table extended {table}").filter("col_name = 'Storage Properties'").collect()
     for row in rows:
         for entry in row.data_type.strip("[]").split(","):
             name, _, value = entry.strip().partition("=")
             if name == _BUCKETS_OPTION:
                 return int(value)
-    raise ValueError(f"{table} records no bucket count")
+    return None
+
+
+_PUBLISHED = "feedlake.published"
+
+
+def published_version(spark: SparkSession, table: str) -> str | None:
+    """What the content of ``table`` was last marked as, None if it is new or unmarked."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"show tblproperties {table}").filter(F.col("key") == _PUBLISHED).first()
+    return found["value"] if found else None
+
+
+def mark_published(spark: SparkSession, table: str, version: str | None) -> None:
+    """Say which content ``table`` has, or, before it is replaced, that this is not known."""
+    if version is None:
+        spark.sql(f"alter table {table} unset tblproperties if exists ('{_PUBLISHED}')")
+    else:
+        spark.sql(f"alter table {table} set tblproperties ('{_PUBLISHED}' = '{version}')")
 
 
 def _require_same_columns(df: DataFrame, columns: list[str], table: str) -> None:

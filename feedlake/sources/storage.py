@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -35,7 +35,12 @@ def folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def size(spark: SparkSession, path: str) -> int:
-    """Bytes of all files under ``path``."""
-    fs, p = _path(spark, path)
-    return fs.getContentSummary(p).getLength()
+def repeatable(df: DataFrame, root: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder; its columns keep their aliases.
+
+    Where the cluster names no such folder, one under ``root`` serves.
+    """
+    context = df.sparkSession.sparkContext
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{root}/checkpoints")
+    return df.checkpoint()

@@ -2,11 +2,15 @@
 
 The stream's checkpoint decides what a batch is: it moves on only after the batch has
 been committed to the table, so a failed batch is tried again, and a batch that was
-committed just before a failure is recognised by its label and not applied twice.
+committed just before a failure is recognised by its label and not applied twice. The label
+holds the id that the checkpoint gives its query, so after a new checkpoint at the same place,
+whose batches are numbered from 0 again, nothing is taken for applied.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.plans.apply import apply_batch
@@ -23,6 +27,7 @@ def read_feed_stream(
     schema,
     archive: str | None = None,
     max_files_per_batch: int | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Feed files as a stream. With ``archive``, files are moved there once a later batch
     (or run) has passed them. Files that arrive with an old time stamp are read all the
@@ -32,7 +37,7 @@ def read_feed_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.parquet(path)
+    return reader.format(fmt).load(path)
 
 
 def stream_apply(
@@ -56,7 +61,9 @@ def stream_apply(
     if config.row_schema is not None:
         schema = envelope(config.row_schema)
     else:
-        sample = read_feed(spark, raw)
+        # The union of the columns of all files: a column that one file lacks is not lost.
+        merged = {"mergeSchema": True} if config.format in ("parquet", "orc") else {}
+        sample = read_feed(spark, raw, fmt=config.format, **merged)
         if sample is None:
             return _existing(table)
         schema = sample.schema
@@ -66,7 +73,7 @@ def stream_apply(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         nonlocal replayed
-        label = f"{checkpoint}#{batch_id}"
+        label = f"{query_id(spark, checkpoint)}#{batch_id}"
         if replayed and table.has_batch(label):
             return
         replayed = False
@@ -80,7 +87,7 @@ def stream_apply(
         )
 
     query = (
-        read_feed_stream(spark, raw, schema, archive, max_files_per_batch)
+        read_feed_stream(spark, raw, schema, archive, max_files_per_batch, config.format)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -90,6 +97,11 @@ def stream_apply(
     return _existing(table)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gave its query; it is written before the first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+
+
 def table_of(
     spark: SparkSession, config: TableConfig, staged_prefix: str, database: str | None = None
 ) -> LakeTable:

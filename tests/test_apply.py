@@ -181,3 +181,23 @@ def test_decimal_rows_keep_their_scale(spark):
     out = apply_changes(stored, feed_rows, ["id"])
     assert out.schema["price"].dataType.simpleString() == "decimal(38,10)"
     assert [(i, str(p)) for i, p in rows(out, "id", "price")] == [(1, "11.9800000000"), (2, "9.9800000000")]
+
+
+def test_diff_refuses_repeated_keys(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="SNAPSHOT_KEY_REPEATED"):
+        snapshot_diff(one, one.filter("v = 'a'"), ["k"], 1).collect()
+
+
+def test_stale_ties_do_not_fail_under_guard(spark):
+    stored = spark.createDataFrame([(1, "new", 10)], "k int, v string, ts_ms long")
+    feed = spark.createDataFrame([(1, "x", "u", 5), (1, "y", "u", 5)], "k int, v string, op string, ts_ms long")
+    assert rows(apply_changes(stored, feed, ["k"], guard="ts_ms")) == [(1, "new", 10)]
+    with pytest.raises(Exception, match="MERGE_CARDINALITY_VIOLATION"):
+        apply_changes(stored, feed, ["k"]).collect()
+
+
+def test_keys_in_another_case(spark):
+    stored = spark.createDataFrame([(1, "a", 1)], "k int, v string, ts_ms long")
+    feed = spark.createDataFrame([(1, "b", "u", 2), (2, "c", "c", 2)], "k int, v string, op string, ts_ms long")
+    assert rows(apply_changes(stored, feed, ["K"])) == [(1, "b", 2), (2, "c", 2)]

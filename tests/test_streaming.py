@@ -89,10 +89,10 @@ def test_failed_batch_is_tried_again(spark, lake):
 
 def test_batch_committed_just_before_a_failure_is_not_applied_again(spark, lake):
     land(spark, lake, [(None, "n", "c", 1)])
-    label = f"{ITEMS.path(lake['checkpoints'])}#0"
+    table = run(spark, lake)
     # Commit made, checkpoint not yet: as if the driver died in between. Then another commit.
-    table = LakeTable.at(spark, ITEMS.path(lake["staged"]))
-    apply_batch(table, spark.createDataFrame([(None, "n", "c", 1)], FEED), ["k"], batch=label)
+    for name in ("0", ".0.crc"):
+        os.remove(os.path.join(ITEMS.path(lake["checkpoints"]), "commits", name))
     table.update(set={"v": "upper(v)"})
     assert rows(run(spark, lake).to_df()) == [(None, "N", 1)]
     land(spark, lake, [(1, "a", "c", 2)])
@@ -144,7 +144,7 @@ def test_run_tables(spark, lake, database):
         ("items", "created", 0), ("empty", "no data", None), ("broken", "failed", None), ("tail", "created", 0)]
     assert "no_such_column" in first[2].error
     land(spark, lake, [(1, "A", "d", 2), (3, "C", "c", 2)], items)
-    assert [o.status for o in go()] == ["replaced", "no data", "failed", "replaced"]
+    assert [o.status for o in go()] == ["replaced", "no data", "failed", "unchanged"]
     assert rows(spark.table(f"{database}.shop_public_items"), "k", "v", "ts_ms") == [(2, "B", 1), (3, "C", 2)]
     assert rows(spark.table(f"{database}.shop_public_tail"), "k") == [(1,), (2,)]
     assert not spark.catalog.tableExists(f"{database}.shop_public_empty")
@@ -199,3 +199,30 @@ def test_time_columns(spark):
     assert rows(normalize_timestamps(df, [], "at", "month"), "month") == [("2023-11",)]
     with pytest.raises(ValueError):
         normalize_timestamps(df, [], None, "day")
+
+
+def test_new_checkpoint_at_the_same_place_loses_nothing(spark, lake, tmp_path):
+    land(spark, lake, [(1, "A", "r", 1)])
+    run(spark, lake)
+    os.rename(ITEMS.path(lake["checkpoints"]), tmp_path / "old_checkpoint")
+    land(spark, lake, [(2, "B", "r", 1)])
+    assert rows(run(spark, lake).to_df(), "k") == [(1,), (2,)]
+
+
+def test_column_of_one_file_only(spark, lake):
+    config = replace(ITEMS, row_schema=None)
+    land(spark, lake, [(1, "A", "r", 1)], config)
+    wide = spark.createDataFrame([(2, "B", "new", "c", 2)], "k int, v string, w string, op string, ts_ms long")
+    write_raw(to_envelope(wide).coalesce(1), config.path(lake["raw"]))
+    assert rows(run(spark, lake, config).to_df(), "k", "w") == [(1, None), (2, "new")]
+
+
+def test_json_feed(spark, lake):
+    config = replace(ITEMS, format="json")
+    to_envelope(spark.createDataFrame([(1, "A", "r", 1), (2, "B", "c", 1)], FEED)).write.json(config.path(lake["raw"]))
+    assert rows(run(spark, lake, config).to_df(), "k", "v") == [(1, "A"), (2, "B")]
+
+
+def test_view_refuses_settings_it_would_ignore():
+    with pytest.raises(ValueError, match="partition"):
+        replace(ITEMS, publish_view=True, partition="day")
