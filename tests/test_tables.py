@@ -288,10 +288,10 @@ def test_publish_unpartitioned_and_empty(spark, database):
 
 
 def test_source_that_changes_between_reads(spark, tmp_path):
-    """Inserts keyed by a random number, into a sliced table: every one arrives."""
+    """Inserts keyed by the time of reading, into a sliced table: every one arrives."""
     table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices=16))
     table.create(spark.range(1000).selectExpr("id as k", "'old' as v"))
-    source = spark.range(50).selectExpr("cast(1e15 * rand() as bigint) + 1000000 as k", "'new' as v")
+    source = spark.range(50).selectExpr("unix_micros(current_timestamp()) * 100 + id as k", "'new' as v")
     table.merge(source, ["k"]).when_not_matched_insert_all().execute()
     assert table.to_df().count() == 1050
     table.merge(source.alias("s"), "t.k = s.k").when_not_matched_insert_all().execute()
