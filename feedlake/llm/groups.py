@@ -85,7 +85,7 @@ def exact_links(groups: DataFrame, payload: DataFrame, compare: Compare) -> tupl
     own = groups.join(sizes, "group").select("node", "group", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = stage(dealt.withColumn("pair", F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other"))).select("node", "own", "pair", (F.col("own") == F.col("other")).alias("same")))
-    shards = max(1, dealt.count() // 2_000)
+    shards = max(1, dealt.count() // 1_000)
     rows = dealt.join(payload, "node").withColumn("shard", F.pmod("pair", F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:

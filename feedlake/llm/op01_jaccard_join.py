@@ -7,7 +7,8 @@ similarity. In a run, a bucket of classes is split by sampled tokens: every clas
 children named by those of its tokens whose hash, seeded by the bucket's path, is below
 1 / (threshold * 64); so classes at the threshold are expected to share one child, similar ones
 more. Buckets of at most ``LIMIT`` classes are brute-forced on their tokens; larger ones are
-split again, and after ``DEPTH`` levels are dense enough to be kept whole. ``runs`` gives the
+split again, unless two of its classes agree in a token with even odds, or ``DEPTH`` levels are
+behind it: it is then dense, as splitting would show again and again, and kept whole. ``runs`` gives the
 number of independent runs for a target recall. Candidates are then verified exactly on their
 sets (see ``groups``), so no link is reported below the threshold.
 
@@ -19,6 +20,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +114,20 @@ def _split(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select("path", "node", "tokens").mapInArrow(batched(make), "path long, node long")
 
 
+def _dense(rows: DataFrame) -> DataFrame:
+    """Paths of (path, node, tokens) of which two nodes agree with odds of a half or more, at each
+    of three places; the places are the path's own, as it has an agreed one for each level."""
+    agreed = None
+    for place in range(3):
+        at = F.pmod(F.xxhash64("path", F.lit(place)), F.lit(TOKENS)).cast("int")
+        token = F.expr("substring(tokens, 4 * at + 1, 4)")
+        counts = rows.withColumn("at", at).groupBy("path", token.alias("token")).agg(F.count(F.lit(1)).alias("n"))
+        odds = counts.groupBy("path").agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("odds"))
+        own = odds.where("odds >= 0.5").select("path")
+        agreed = own if agreed is None else agreed.join(own, "path")
+    return agreed
+
+
 def candidate_groups(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
     """(node, group) of (node, tokens): groups that hold each pair the runs find."""
     least = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / TOKENS)
@@ -120,16 +136,20 @@ def candidate_groups(classes: DataFrame, threshold: float, recall: float) -> Dat
         return (x.view(np.uint32) == y.view(np.uint32)).mean(axis=1) >= least
 
     start = classes.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs(threshold, recall)).cast("long"))).alias("path"), "node", "tokens")
-    found, large = None, start
+    found, large, whole = None, start, []
     for level in range(DEPTH):
         buckets = stage(sized_buckets(_split(large, threshold)))
         edges = bucket_edges(buckets, classes.select("node", "tokens"), "tokens", alike)
         found = edges if found is None else found.union(edges)
-        dense = buckets.where(f"size > {LIMIT}").select("path", "node")
-        if level + 1 == DEPTH or dense.isEmpty():
+        big = buckets.where(f"size > {LIMIT}").select("path", "node")
+        if level + 1 == DEPTH or big.isEmpty():
+            whole.append(big)
             break
-        large = dense.join(classes.select("node", "tokens"), "node")
-    return coarse_groups(found, dense)
+        big = stage(big.join(classes.select("node", "tokens"), "node"))
+        close = _dense(big)
+        whole.append(big.join(close, "path").select("path", "node"))
+        large = stage(big.join(close, "path", "left_anti"))
+    return coarse_groups(found, reduce(DataFrame.union, whole))
 
 
 def _set_payload(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:

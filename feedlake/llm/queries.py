@@ -6,6 +6,70 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Words of a text column after lower-casing A-Z, in SQL.
+_FOLD = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATE = f"""
+with docs as (select doc_id, coalesce({_FOLD.format('text')}, []) as w from documents),
+items as (select item_id, coalesce({_FOLD.format('text')}, []) as w from benchmark),
+windows as (select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as phrase
+            from items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as u(i) where len(w) > 0),
+sizes as (select distinct n from windows),
+places as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as phrase
+           from docs, sizes, unnest(range(1, len(w) - n + 2)) as u(i) where len(w) >= n),
+hits as (select distinct doc_id, places.n, i, item_id from places join windows on places.n = windows.n and places.phrase = windows.phrase),
+spots as (select doc_id, count(distinct p) as n_hit from hits, unnest(range(i, i + n)) as u(p) group by doc_id),
+names as (select doc_id, list_sort(list(distinct item_id::varchar)) as items from hits group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(items), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join spots using (doc_id) left join names using (doc_id)
+"""
+
+SUBSTRING_DEDUP = """
+with docs as (select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w from documents),
+windows as (select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as h
+            from docs, unnest(range(1, len(w) - 33)) as u(i) where len(w) >= 35),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by h) as n from windows) where n > 1),
+edges as (select doc_id, i as p, 1 as d from again union all select doc_id, i + 35, -1 from again),
+each as (select doc_id, w[i] as word, i from docs, unnest(range(1, len(w) + 1)) as u(i)),
+steps as (select doc_id, p, sum(d) as d from edges group by doc_id, p),
+covered as (select each.doc_id, word, i, sum(coalesce(d, 0)) over (partition by each.doc_id order by i) as depth
+            from each left join steps on steps.doc_id = each.doc_id and steps.p = each.i),
+kept as (select doc_id, string_agg(word, ' ' order by i) filter (where depth = 0) as kept, count(*) filter (where depth > 0) as gone
+         from covered group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(gone, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
+EMBEDDING_DEDUP = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+good as (select vec_id, e, sqrt(list_dot_product(e, e)) as r from v
+         where len(e) > 0 and not list_contains(list_transform(e, lambda x: x is null or not isfinite(x)), true)
+           and list_dot_product(e, e) > 0),
+links as (select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+          where list_dot_product(a.e, b.e) / (a.r * b.r) >= 0.9),
+reach as (select vec_id as a, vec_id as b from v union select reach.a, links.b from reach join links on reach.b = links.a),
+parts as (select a, min(b) as component_id from reach group by a),
+degree as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(degree.n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from v join parts on parts.a = vec_id left join degree on degree.a = vec_id
+"""
+
+JACCARD_JOIN = f"""
+with recursive docs as (select doc_id, coalesce({_FOLD.format('text')}, []) as w from documents),
+grams as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+          from docs, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as u(i) where len(w) > 0),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as n from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+links as (select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+          where 5 * shared.n >= 4 * (x.n + y.n - shared.n)),
+reach as (select doc_id as a, doc_id as b from docs union select reach.a, links.b from reach join links on reach.b = links.a),
+parts as (select a, min(b) as class_id from reach group by a),
+degree as (select a, count(*) as n from links group by a)
+select doc_id, class_id, coalesce(degree.n, 0)::bigint as n_links
+from docs join parts on parts.a = doc_id left join degree on degree.a = doc_id
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _queries: dict[str, Query] = {}
@@ -45,7 +109,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", SUBSTRING_DEDUP)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlake.llm.op04_substring_dedup import remove_repeats
 
@@ -73,7 +137,7 @@ def quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_decontaminate")
+@query("op3_decontaminate", DECONTAMINATE)
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlake.llm.op03_decontaminate import contamination
 
@@ -98,14 +162,14 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op1_jaccard_join")
+@query("op1_jaccard_join", JACCARD_JOIN)
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlake.llm.op01_jaccard_join import similar_documents
 
     return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
-@query("op7_embedding_dedup")
+@query("op7_embedding_dedup", EMBEDDING_DEDUP)
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlake.llm.op07_embedding_dedup import near_vectors
 
