@@ -7,7 +7,8 @@ which overlaps the next by W-1 units only.
 
 1. ``occurrences``: the super-windows of all texts, as hashes. Nothing but their places moves.
 2. ``contexts``: equal super-windows are counted together, before the shuffle too; anchors that
-   occur once drop out. A super-window that occurs twice has all its windows repeated.
+   occur once drop out: the windows of a super-window with one place of its anchor all differ. A
+   super-window that occurs twice has all its windows repeated.
 3. Super-windows that occur once, but whose anchor has others, go into shards with one copy of
    each of those others; what is repeated in a shard is for the caller's index to say. An anchor
    with more of them than a shard takes is dealt over several shards by content, and these
@@ -56,13 +57,14 @@ def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def super_windows(values: np.ndarray, at: np.ndarray, size: int, k: int) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor, context hash) of each super-window of the texts that
-    begin at ``at``; the first window is counted from its text's start."""
+    """(text, first window, windows, anchor, context hash, places of the anchor in it) of each
+    super-window of the texts that begin at ``at``; windows are counted from a text's start."""
     n, w = len(values), size - k + 1
     if n < size:
-        return tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64))
     rolling = Rolling(values)
-    anchor = _sliding_least(rolling.grams(k), w)
+    grams = rolling.grams(k)
+    anchor = _sliding_least(grams, w)
     lengths = np.diff(at)
     end = np.repeat(at[1:], lengths)[: n - size + 1]
     place = np.arange(n - size + 1)
@@ -77,7 +79,11 @@ def super_windows(values: np.ndarray, at: np.ndarray, size: int, k: int) -> tupl
     first = np.repeat(run, pieces) + w * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
     last = np.minimum(first + w, np.repeat(stop, pieces))
     text = np.searchsorted(at, first, "right") - 1
-    return text, first - at[text], last - first, anchor[first], rolling.of(first, last + size - 1)
+    held = last - first + w - 1
+    begin = np.cumsum(held) - held
+    own = grams[np.arange(held.sum()) + np.repeat(first - begin, held)] == np.repeat(anchor[first], held)
+    places = np.add.reduceat(own, begin, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return text, first - at[text], last - first, anchor[first], rolling.of(first, last + size - 1), places
 
 
 def units(chunk: Chunk, unit: str) -> tuple[np.ndarray, np.ndarray]:
@@ -89,29 +95,31 @@ def units(chunk: Chunk, unit: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def occurrences(texts: DataFrame, unit: str, size: int, k: int) -> DataFrame:
-    """(d, h, start, n, anchor, ctx) of every super-window; staged, as it is used twice."""
+    """(d, h, start, n, anchor, ctx, again) of every super-window, again if its anchor has several
+    places in it; staged, as it is used twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d, h = batch.column(0), batch.column(1)
             for chunk in chunks(batch.column(2)):
                 values, at = units(chunk, unit)
-                text, start, n, anchor, ctx = super_windows(values, at, size, k)
+                text, start, n, anchor, ctx, places = super_windows(values, at, size, k)
                 took = pa.array(text + chunk.first)
                 yield pa.RecordBatch.from_arrays(
-                    [d.take(took), h.take(took), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(ctx.view(np.int64))],
-                    ["d", "h", "start", "n", "anchor", "ctx"],
+                    [d.take(took), h.take(took), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(places > 1)],
+                    ["d", "h", "start", "n", "anchor", "ctx", "again"],
                 )
 
-    return stage(texts.select("d", "h", "text").mapInArrow(run, "d long, h int, start int, n int, anchor long, ctx long"))
+    return stage(texts.select("d", "h", "text").mapInArrow(run, "d long, h int, start int, n int, anchor long, ctx long, again boolean"))
 
 
 def contexts(found: DataFrame, unit: str, size: int) -> DataFrame:
-    """One row per different super-window of an anchor that occurs at least twice: how often
+    """One row per different super-window of an anchor with at least two places: how often
     it occurs (c), a place of it (ref), how many the anchor has (n_ctx), and into how many
     shards they are dealt (parts)."""
-    each = found.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("d", "h", "start", "n")).alias("ref"))
-    anchors = each.groupBy("anchor").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("n_ctx")).where("total >= 2")
+    each = found.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.max("again").alias("again"), F.min(F.struct("d", "h", "start", "n")).alias("ref"))
+    anchors = each.groupBy("anchor").agg(F.sum("c").alias("total"), F.max("again").alias("some"), F.count(F.lit(1)).alias("n_ctx"))
+    anchors = anchors.where("total >= 2 or some").drop("some")
     most = max(1, SHARD_UNITS[unit] // (2 * size))
     return stage(each.join(anchors, "anchor").withColumn("parts", F.ceil(F.col("n_ctx") / most).cast("int")).drop("total"))
 
@@ -249,7 +257,7 @@ def repeated_ranges(texts: DataFrame, unit: str, size: int, k: int, judge: Judge
     again = found.join(ctx.where("c >= 2").select("anchor", "ctx"), ["anchor", "ctx"]).select(
         "d", "h", "start", (F.col("start") + F.col("n") + F.lit(size - 1)).alias("stop")
     )
-    unsure = ctx.where("n_ctx >= 2")
+    unsure = ctx.where("n_ctx >= 2 or (again and c = 1)")
     total = unsure.agg(F.sum(F.col("ref.n") + F.lit(size))).first()[0] or 0
     shards = max(1, -(-total // SHARD_UNITS[unit]))
     wanted = (

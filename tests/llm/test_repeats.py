@@ -19,7 +19,7 @@ def texts(seed: int) -> list[str | None]:
     word = lambda: "".join(r.choices("abé\tñ日", k=r.randint(1, 4)))
     passage = " ".join(word() for _ in range(30))
     base = [word() for _ in range(60)]
-    out: list[str | None] = [None, "", " \n ", "a", "x " * 200, "y" * 300, passage, passage]
+    out: list[str | None] = [None, "", " \n ", "a", "x " * 200, "y" * 300, "p q " * 5, "r s t u v w " * 2, "0123456789ab" * 3, passage, passage]
     for _ in range(25):
         copy = list(base)
         copy[r.randrange(60)] = word()
