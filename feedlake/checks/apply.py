@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from feedlake.checks.images import ORDER_ROW
 from feedlake.checks.registry import (
     EVENT_FEED,
     ORDER_FEED,
+    ORDER_SOURCE,
     ORDER_TARGET,
     applied_sql,
     check,
@@ -17,16 +19,20 @@ from feedlake.checks.registry import (
     event_feed,
     newest_sql,
     order_feed,
+    order_source,
     order_target,
     workspace,
 )
-from feedlake.operators.flatten import to_envelope
+from feedlake.job import run_job
+from feedlake.operators.flatten import flatten, to_envelope
+from feedlake.operators.merge import merge
 from feedlake.plans.apply import apply_batch, apply_changes, effective_changes, first_load, merge_effective
 from feedlake.plans.config import TableConfig
 from feedlake.plans.run import outcomes_frame, run_tables
 from feedlake.plans.table import LakeTable
 from feedlake.sources.feeds import write_raw
 from feedlake.sources.layout import Layout
+from feedlake.sources.storage import exists, set_aside
 from feedlake.streaming.stream import stream_apply
 
 ORDERS = TableConfig("sales.public.orders", ["k"], row_schema=ORDER_ROW)
@@ -184,3 +190,93 @@ def _run_tables(spark, sf_dir):
         content = rows if content is None else content.unionByName(rows)
     report = outcomes_frame(spark, outcomes).drop("error").join(content, "topic", "left_outer")
     return report.fillna({"version": -1, "n_rows": 0, "sum_ts_ms": 0})
+
+
+@check(
+    "stream_reset",
+    f"""select k, st, price, ts_ms, case when st <> 'F' then 'new' end as pr from ({ORDER_FEED}) where op = 'r'""",
+)
+def _stream_reset(spark, sf_dir):
+    """Files of which only some have a column; then a new checkpoint in place of the old one,
+    whose batches are numbered from 0 again, and more files."""
+    folder, feed = workspace(spark), order_feed(spark, sf_dir).filter("op = 'r'")
+    config = TableConfig("sales.public.orders", ["k"])
+    raw, checkpoints = config.path(f"{folder}/raw"), f"{folder}/checkpoints"
+    wide = feed.withColumn("pr", F.lit("new"))
+
+    def run():
+        return stream_apply(spark, config, f"{folder}/raw", f"{folder}/staged", checkpoints)
+
+    write_raw(to_envelope(feed.filter("st = 'F'")), raw)
+    write_raw(to_envelope(wide.filter("st = 'O'")), raw)
+    run()
+    set_aside(spark, checkpoints, f"{folder}/former_checkpoints")
+    write_raw(to_envelope(wide.filter("st = 'P'")), raw)
+    return run().to_df().select("k", "st", "price", "ts_ms", "pr")
+
+
+@check(
+    "job_tables",
+    f"""select 'sales.public.orders' as topic, 'created' as status, count(*) as n_rows, sum(k)::bigint as sum_k
+        from ({ORDER_FEED}) where op = 'r'
+        union all
+        select 'sales.public.events', 'created', count(*), sum(k)::bigint
+        from ({newest_sql(f"({EVENT_FEED})")}) where op <> 'd'""",
+)
+def _job_tables(spark, sf_dir):
+    """One job over a JSON feed and a Parquet feed, each with places of its own."""
+    folder = workspace(spark)
+    name = database(spark, folder)
+    orders = to_envelope(order_feed(spark, sf_dir).filter("op = 'r'"))
+    orders.write.json(ORDERS.path(f"{folder}/raw"))
+    events = TableConfig("sales.public.events", ["k"])
+    write_raw(to_envelope(event_feed(spark, sf_dir)), events.path(f"{folder}/other"))
+    row = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDER_ROW.fields)
+    job = {
+        "raw": f"{folder}/raw",
+        "staged": f"{folder}/staged",
+        "checkpoints": f"{folder}/checkpoints",
+        "database": name,
+        "tables": [
+            # JSON leaves out what is null, so the type of the rows is told.
+            {"topic_name": "sales.public.orders", "primary_keys": ["k"], "format": "json", "row_schema": row},
+            {"topic_name": "sales.public.events", "primary_keys": ["k"], "raw": f"{folder}/other"},
+        ],
+    }
+    outcomes = run_job(spark, json.dumps(job))
+    content = None
+    for config in (ORDERS, events):
+        rows = spark.table(f"{name}.{config.catalog_name}").agg(F.count("*").alias("n_rows"), F.sum("k").alias("sum_k"))
+        rows = rows.withColumn("topic", F.lit(config.topic))
+        content = rows if content is None else content.unionByName(rows)
+    return outcomes_frame(spark, outcomes).select("topic", "status").join(content, "topic")
+
+
+_NULL_KEYS = "select case when k % 7 = 0 then null else k end as k, st, price, ts_ms from {rows}"
+
+
+@check(
+    "merge_null_keys",
+    f"""with t as ({_NULL_KEYS.format(rows=f"({ORDER_TARGET})")}), s as ({_NULL_KEYS.format(rows=f"({ORDER_SOURCE})")})
+        select t.k, coalesce(s.st, t.st) as st, coalesce(s.price, t.price) as price, coalesce(s.ts_ms, t.ts_ms) as ts_ms
+        from t left join s on s.k = t.k
+        union all select k, st, price, ts_ms from s where k is null or not exists (select 1 from t where t.k = s.k)""",
+)
+def _merge_null_keys(spark, sf_dir):
+    """Rows without a key match nothing: those of the table stay, those of the source are inserted."""
+    target = spark.sql(_NULL_KEYS, rows=order_target(spark, sf_dir))
+    source = spark.sql(_NULL_KEYS, rows=order_source(spark, sf_dir))
+    return merge(target, source, ["k"]).when_matched_update_all().when_not_matched_insert_all().to_df()
+
+
+@check("stream_archive", f"select k, st, price, op, ts_ms from ({ORDER_FEED})")
+def _stream_archive(spark, sf_dir):
+    """What is left of the feed and what is archived make up the feed."""
+    folder, feed = workspace(spark), to_envelope(order_feed(spark, sf_dir))
+    raw, archive = f"{folder}/raw", f"{folder}/archive"
+    for part in ("op = 'r'", "op <> 'r'"):
+        write_raw(feed.filter(part), ORDERS.path(raw))
+        stream_apply(spark, ORDERS, raw, f"{folder}/staged", f"{folder}/checkpoints", archive)
+    places = [p for p in (raw, archive) if exists(spark, p)]
+    everything = spark.read.schema(feed.schema).option("recursiveFileLookup", True).parquet(*places)
+    return flatten(everything)

@@ -17,6 +17,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def set_aside(spark: SparkSession, path: str, other: str) -> None:
+    """Give the folder ``path`` another name."""
+    fs, p = _path(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(other)):
+        raise OSError(f"cannot rename {path} to {other}")
+
+
 def newest_folder(spark: SparkSession, root: str, name: str) -> int | None:
     """Highest n whose folder ``<root>/<name>=<n>`` is finished, None if there is none."""
     fs, p = _path(spark, root)
