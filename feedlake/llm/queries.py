@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import feedlake
+
 #: Words of a text column after lower-casing A-Z, in SQL.
 _FOLD = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -72,13 +77,22 @@ from docs join parts on parts.a = doc_id left join degree on degree.a = doc_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_ROOT = str(Path(feedlake.__file__).resolve().parents[1])
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        _queries[name] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Python workers look for the package where the driver found it, too.
+            paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+            if _ROOT not in paths:
+                spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+            return f(spark, sf_dir)
+
+        _queries[name] = run
         if sql is not None:
             _sql[name] = sql
         return f
