@@ -8,9 +8,13 @@ vocabulary and concatenates each text's bytes by an ordered aggregate.
 
 Spark deals the rows; a task holds the vocabulary (fixed size), stores of at most
 ``CACHE_ENTRIES`` stretches, which only save work, and one block of texts. Nothing is shuffled,
-so skew in the texts does not matter and a lost executor costs its running tasks only. A piece
-of n bytes takes up to n rounds over its rows: a single unbroken word of many thousand letters
-is slow, yet right.
+so skew in the texts does not matter and a lost executor costs its running tasks only.
+
+The recursive query returns the rows of all its rounds, so a block is bounded in bytes, and a
+piece of over ``LONG_BYTES`` is done alone by queries of a bounded number of rounds, each going
+on from the last round of the one before. There a round contracts every pair of smallest rank
+at once, from the left, unless the token made is part of one of smaller rank: a piece takes a
+round per different token made, so a word of many thousand letters is slow, yet right.
 
 Null texts have no tokens and decode to empty bytes; an id outside the vocabulary, or null,
 raises. Every other column of the input is left alone. Repeated rows give repeated rows.
@@ -34,6 +38,11 @@ from feedlake.llm.common import narrow
 CACHE_ENTRIES = 600_000
 #: Distinct pieces that one DuckDB query handles.
 BLOCK_PIECES = 40_000
+#: Bytes of the pieces that one DuckDB query handles, and of a piece that is done by itself.
+PIECES_BYTES = 1 << 20
+LONG_BYTES = 128
+#: Rows that the rounds of one query on a long piece may return, where one round has fewer.
+ROUND_ROWS = 4_000_000
 #: Bytes of text, and ids, that are handled at once.
 BLOCK_BYTES = 2 << 20
 BLOCK_IDS = 1_000_000
@@ -57,6 +66,31 @@ with recursive contracted(round, piece, pos, token) as (
 select round, piece, pos, token from contracted
 """
 
+#: The same on one long piece: all pairs of smallest rank, every second where they overlap.
+_ENCODE_LONG = """
+with recursive contracted(round, pos, token) as (
+    select 0, pos, token from bytes_of_piece
+    union all
+    select * from (
+        with pairs as (
+            select round, pos, token, lead(token) over following as next_token, row_number() over following as place
+            from contracted window following as (order by pos)),
+        ranked as (
+            select place, merged, lone, min(merged) over () as least, min(place) over (partition by merged) as leftmost
+            from pairs join merges on token = left_token and next_token = right_token),
+        wanted as (
+            select place, merged, place - row_number() over (order by place) as stretch
+            from ranked where merged = least and (not lone or place = leftmost)),
+        chosen as (
+            select place, merged from (
+                select place, merged, row_number() over (partition by stretch order by place) as nth from wanted)
+            where nth % 2 = 1)
+        select round + 1, pos, coalesce(c.merged, token)
+        from pairs left join chosen as c on pairs.place = c.place left join chosen as g on pairs.place = g.place + 1
+        where g.place is null and round < $rounds and exists (select 1 from chosen)))
+select round, pos, token from contracted where round = (select max(round) from contracted) order by pos
+"""
+
 _DECODE = """
 select run, string_agg(hex, '' order by pos) as hex
 from ids_of_runs join vocabulary on id = token group by run
@@ -106,15 +140,39 @@ class Codec:
                     left.append(a), right.append(b), merged.append(rank)
         self.db = duckdb.connect()
         self.db.execute("set threads = 1")
-        merges = pa.table({"left_token": pa.array(left, pa.int32()), "right_token": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int32())})
+        # A token that is part of one of smaller rank: once made, that pair comes before its like.
+        early = {part for a, b, m in zip(left, right, merged, strict=True) for part in (a, b) if part > m}
+        lone = pa.array([m in early for m in merged], pa.bool_())
+        merges = pa.table({"left_token": pa.array(left, pa.int32()), "right_token": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int32()), "lone": lone})
         vocabulary = pa.table({"token": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
 
+    def _contract_long(self, coded: bytes) -> np.ndarray:
+        """The ids of one piece; no query returns more than about ``ROUND_ROWS`` rows."""
+        token = self.single[np.frombuffer(coded, np.uint8)]
+        while True:
+            rounds = max(1, ROUND_ROWS // len(token))
+            self.db.register("bytes_of_piece", pa.table({"pos": np.arange(len(token), dtype=np.int32), "token": token}))
+            got = self.db.execute(_ENCODE_LONG, {"rounds": rounds}).fetchnumpy()
+            self.db.unregister("bytes_of_piece")
+            token = np.asarray(got["token"], np.int32)
+            if got["round"][0] < rounds:
+                return token
+
     def _contract(self, pieces: list[str]) -> None:
         """Puts the ids of ``pieces``, none of them a token, into the store."""
+        sizes = [len(piece.encode()) for piece in pieces]
+        for piece in [piece for piece, size in zip(pieces, sizes, strict=True) if size > LONG_BYTES]:
+            ids = self._contract_long(piece.encode())
+            self.pieces.put([piece], ids, np.array([len(ids)]))
+        short = [(piece, size) for piece, size in zip(pieces, sizes, strict=True) if size <= LONG_BYTES]
+        for first, last in _blocks(np.array([size for _, size in short], np.int64), PIECES_BYTES):
+            self._contract_short([piece for piece, _ in short[first:last]])
+
+    def _contract_short(self, pieces: list[str]) -> None:
         for i in range(0, len(pieces), BLOCK_PIECES):
             block = pieces[i : i + BLOCK_PIECES]
             coded = [piece.encode() for piece in block]

@@ -68,3 +68,24 @@ def test_unknown_ids_raise(spark):
         op.decode(bad, RANKS, P.PATTERN).collect()
     none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [bytes(r.decoded) for r in op.decode(none, RANKS, P.PATTERN).collect()] == [b"", b""]
+
+
+@pytest.mark.parametrize("word", ["a" * 50_000, "abcdefgh" * 60], ids=["one", "eight"])
+def test_long_words(library, word):
+    import resource
+
+    c = op.Codec(RANKS, P.PATTERN)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    ids, lengths = c.encode([word])
+    assert ids.tolist() == library.encode_ordinary(word) and c.decode(ids, lengths) == [word.encode()]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_500_000
+
+
+def test_rounds_go_on_in_the_next_query(library, monkeypatch):
+    monkeypatch.setattr(op, "ROUND_ROWS", 1_000)
+    monkeypatch.setattr(op, "LONG_BYTES", 8)
+    monkeypatch.setattr(op, "PIECES_BYTES", 20)
+    c = op.Codec(RANKS, P.PATTERN)
+    for text in ("abracadabraxyzzyquux" * 8, "antidisestablishmentarianism and internationalisation", "aaaaaaaaaaaaaaab"):
+        ids, _ = c.encode([text])
+        assert ids.tolist() == library.encode_ordinary(text)
