@@ -75,6 +75,36 @@ select doc_id, class_id, coalesce(degree.n, 0)::bigint as n_links
 from docs join parts on parts.a = doc_id left join degree on degree.a = doc_id
 """
 
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+       lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+_FIELD = "coalesce(strlen({0}::varchar) || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+MERKLE_MANIFEST = f"""
+with recursive docs as (select doc_id, dense_rank() over (order by source nulls first) - 1 as tree, {_LEAF.format('text')} as leaf,
+    {_LEAF.format("(case when " + _CRC32 + " % 2 = 0 then replace(text, chr(10), '') else text end)")} as altered from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as n from docs),
+trees(tree, lvl, pos, n, h) as (select tree, 0, pos, n, leaf from leaves union all
+    select tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' order by pos)) from trees where n > 1 group by tree, lvl, n, pos // 3),
+subroots as (select tree, h from trees where n = 1),
+top(lvl, pos, n, h) as (select 0, tree, count(*) over (), h from subroots union all
+    select lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' order by pos)) from top where n > 1 group by lvl, n, pos // 3),
+nodes as (select tree, lvl, pos, n, h from trees where n > 1 union all select -1, lvl, pos, n, h from top),
+paths as (select *, coalesce(string_agg(h, '' order by pos) over (partition by tree, lvl, pos // 3 order by pos rows between unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(h, '' order by pos) over (partition by tree, lvl, pos // 3 order by pos rows between 1 following and unbounded following), '') as r,
+    case when n > 3 or tree = -1 then tree else -1 end as up_tree, case when n > 3 or tree = -1 then lvl + 1 else 0 end as up_lvl,
+    case when n > 3 or tree = -1 then pos // 3 else tree end as up_pos from nodes where n > 1),
+climb(tree0, pos0, tree, lvl, pos, h, proof) as (
+    select tree, pos, case when n > 1 then tree else -1 end, 0, case when n > 1 then pos else tree end, altered, '' from leaves union all
+    select tree0, pos0, up_tree, up_lvl, up_pos, sha256(l || climb.h || r), proof || l || r
+    from climb join paths on climb.tree = paths.tree and climb.lvl = paths.lvl and climb.pos = paths.pos),
+root as (select h from top where n = 1),
+ends as (select tree0, pos0, h, proof, row_number() over (partition by tree0, pos0 order by length(proof) desc) as k from climb)
+select doc_id, leaf, subroots.h as subroot, root.h as root, sha256(proof) as proof_sha256, ends.h as folded_root, ends.h = root.h as verified
+from leaves join subroots on subroots.tree = leaves.tree join ends on tree0 = leaves.tree and pos0 = leaves.pos and k = 1 cross join root
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _ROOT = str(Path(feedlake.__file__).resolve().parents[1])
@@ -219,6 +249,14 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi"))
 
 
+@query("op12_merkle_manifest", MERKLE_MANIFEST)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op12_merkle_manifest import manifest
+
+    found = manifest(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
