@@ -105,6 +105,21 @@ select doc_id, leaf, subroots.h as subroot, root.h as root, sha256(proof) as pro
 from leaves join subroots on subroots.tree = leaves.tree join ends on tree0 = leaves.tree and pos0 = leaves.pos and k = 1 cross join root
 """
 
+HARD_NEGATIVES = """
+with sound as (select distinct vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding::double[], lambda x: floor(256 * x)) as v from embeddings
+    where label is not null and embedding is not null
+      and not list_contains(list_transform(embedding::double[], lambda x: x is null or not isfinite(x)), true)),
+scored as (select a.id as anchor_id, a.label = b.label as alike, b.id, coalesce(list_dot_product(a.v, b.v), 0)::bigint as score
+    from sound a join sound b on len(a.v) = len(b.v) and (a.id, a.label, a.v) is distinct from (b.id, b.label, b.v) where a.id % 50 = 0),
+positives as (select anchor_id, id as positive_id, score as positive_score, row_number() over (partition by anchor_id order by score desc, id) as k
+    from scored where alike qualify k <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, k order by score desc, id)::integer as rank,
+       id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score qualify rank <= 3
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _ROOT = str(Path(feedlake.__file__).resolve().parents[1])
@@ -257,6 +272,15 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+@query("op13_hard_negatives", HARD_NEGATIVES)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm import op13_hard_negatives as op
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return op.hard_negatives(rows, F.col("id") % 50 == 0, positives=5, negatives=3, low_share=50, high_share=95)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
