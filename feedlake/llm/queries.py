@@ -120,6 +120,17 @@ from positives join scored using (anchor_id)
 where not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score qualify rank <= 3
 """
 
+_DECODED = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '&quot;?', '\"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g')"
+
+#: For the way the table's pages are built: one element ``article`` of paragraphs and a headline.
+HTML_EXTRACTION = f"""
+with parts as (select page_id, url, regexp_split_to_array(regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+    '<br>', ' ', 'g'), '</?b>', '', 'g'), '</?(?:p|h1)>') as part from pages),
+texts as (select page_id, url, array_to_string(list_filter(list_transform(part,
+    lambda x: trim(regexp_replace({_DECODED.format('x')}, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text from parts)
+select page_id, url, text, length(text) as n_chars from texts
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _ROOT = str(Path(feedlake.__file__).resolve().parents[1])
@@ -264,6 +275,14 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi"))
 
 
+@query("op11_html_extraction", HTML_EXTRACTION)
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlake.llm.op11_html_extraction import extract, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
+
+
 @query("op12_merkle_manifest", MERKLE_MANIFEST)
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlake.llm.op12_merkle_manifest import manifest
