@@ -1,7 +1,7 @@
 """A bidirectional LSTM in numpy that labels each block of a page, reading all of the page.
 
 A block is read as three things: the sum of vectors of the hashed tags and names on its path, the
-mean of vectors of its hashed words, and a few measures of its text. The label is read from both
+mean of vectors of its different hashed words, and a few measures of its text. The label is read from both
 directions' outputs there and from the block itself. Vectors and cells are learned together by
 back-propagation through both directions, with Adam.
 """
@@ -20,6 +20,8 @@ from feedlake.llm.html_blocks import Block
 #: Hash places and widths of path and word vectors, width of a cell.
 PATHS, WORDS, PATH_WIDTH, WORD_WIDTH, CELL = 1_024, 4_096, 16, 8, 16
 MEASURES = 8
+#: Words that the mean of a block's words has beside them, all zero: one or two words tell little.
+FEW = 4
 _STOP = re.compile(r"[.!?…。]\W*$")
 
 
@@ -45,7 +47,7 @@ def features(pages: Sequence[Sequence[Block]]) -> Features:
             path.append(crc32(f">{b.last}".encode()) % PATHS)
             path_at.append(len(path))
             words = b.text.lower().split()
-            word += [crc32(w.encode("utf-8", "replace")) % WORDS for w in words]
+            word += sorted(crc32(w.encode("utf-8", "replace")) % WORDS for w in set(words))
             word_at.append(len(word))
             n = len(b.text)
             measures.append(
@@ -133,7 +135,7 @@ class Labeller:
         self.p |= {"out": normal(0.2, 2 * CELL + wide, 1), "bias": np.zeros(1, np.float32)}
 
     def _read(self, x: Features) -> np.ndarray:
-        words = _sums(self.p["word"], x.word, x.word_at) / np.maximum(1, np.diff(x.word_at))[:, None]
+        words = _sums(self.p["word"], x.word, x.word_at) / (FEW + np.diff(x.word_at))[:, None]
         return np.concatenate([_sums(self.p["path"], x.path, x.path_at), words, x.measures], axis=1)
 
     @staticmethod
@@ -179,7 +181,7 @@ class Labeller:
             dheld += flat @ self.p["w" + way].T
         for name, index, at, part, share in (
             ("path", x.path, x.path_at, dheld[:, :PATH_WIDTH], None),
-            ("word", x.word, x.word_at, dheld[:, PATH_WIDTH : PATH_WIDTH + WORD_WIDTH], np.maximum(1, np.diff(x.word_at))[:, None]),
+            ("word", x.word, x.word_at, dheld[:, PATH_WIDTH : PATH_WIDTH + WORD_WIDTH], (FEW + np.diff(x.word_at))[:, None]),
         ):
             grad[name] = np.zeros_like(self.p[name])
             np.add.at(grad[name], index, np.repeat(part if share is None else part / share, np.diff(at), axis=0))
