@@ -59,3 +59,9 @@ def gather(rows: DataFrame, by) -> DataFrame:
         return rows
     # The hint takes columns only.
     return rows.withColumns(names).hint("rebalance", *[F.col(n) for n in names]).drop(*names)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark, by its own estimate and threshold, would broadcast ``df``."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit

@@ -41,8 +41,11 @@ def with_group_max(df: DataFrame, keys: list[str], ts: str = "ts_ms", name: str
     return joined.select(*[F.col(c) for c in df.columns], F.col(f"{_PREFIX}max").alias(name))
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column], flag: str | None = None) -> DataFrame:
-    """One row per key group by ``order``; ``flag`` tells whether the group had more rows.
+def first_per_key(
+    df: DataFrame, keys: list[str], order: list[Column], flag: str | None = None, alike: list[str] | None = None
+) -> DataFrame:
+    """One row per key group by ``order``; ``flag`` tells whether the group had more rows, or,
+    with ``alike``, whether the second one has the same values there.
 
     At most two rows per key leave a map task, however hot the key is. The window
     partitions by the keys as one struct, so that a join on the key columns still places
@@ -54,9 +57,10 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], flag: str
     ranked = df.withColumn(group, F.struct(*keys)).withColumn(rank, F.row_number().over(w))
     if flag is None:
         return ranked.filter(F.col(rank) <= 1).drop(group, rank)
+    second = F.lead(F.struct(*(alike or [rank]))).over(w)
     return (
         ranked.filter(F.col(rank) <= 2)
-        .withColumn(flag, F.lead(rank).over(w).isNotNull())
+        .withColumn(flag, F.coalesce(second == F.struct(*alike), F.lit(False)) if alike else second.isNotNull())
         .filter(F.col(rank) == 1)
         .drop(group, rank)
     )

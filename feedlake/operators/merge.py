@@ -4,8 +4,12 @@ A merge is planned as up to two joins, each only if a clause needs it:
 
 * rows of the table: table LEFT JOIN source (one source row per key), which settles
   keep, update and delete;
-* rows to insert: source LEFT ANTI the keys the table already has, where those keys are
-  first cut down to keys the source touches.
+* rows to insert: source LEFT ANTI the keys the table already has, which, for a source that
+  Spark may broadcast, are first cut down to keys the source touches.
+
+A predicate is taken apart (see ``predicates``): one that only says which keys are equal, by
+whatever names, is a merge by keys; one that says more is checked on pairs joined by its
+equalities, or by bins of a range.
 
 Every join streams its large side, so Spark may broadcast a small source (by its own
 size threshold) or, for a table bucketed by the keys, read it without an exchange. Hot
@@ -25,14 +29,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedlake.functions.expressions import (
     all_of,
-    any_null,
     as_assignments,
     as_condition,
+    fits_broadcast,
     gather,
     is_true,
     none_null,
 )
 from feedlake.operators.latest import first_per_key
+from feedlake.operators.predicates import BIN, Match, analyse, with_bins
 from feedlake.operators.rowchanges import (
     ACTION,
     DELETED,
@@ -44,9 +49,9 @@ from feedlake.operators.rowchanges import (
     target_columns,
 )
 
-CARDINALITY_ERROR = (
-    "MERGE_CARDINALITY_VIOLATION: several source rows match one row of the table"
-)
+#: Spark lets a query raise texts only, not its own conditions by name, so this has the state of a
+#: text raised by a user (P0001).
+CARDINALITY_ERROR = "MERGE_CARDINALITY_VIOLATION: several source rows match one row of the table"
 
 _SRC = "_fl_src"
 _HIT = "_fl_hit"
@@ -68,8 +73,8 @@ class MergeBuilder:
 
     target: DataFrame
     source: DataFrame
-    keys: list[str] | None
-    condition: Column | None
+    match: Match
+    condition: Column | None  # None: the keys of ``match`` decide
     target_alias: str
     unique_source: bool = False
     gather_by: tuple[Column, ...] = ()
@@ -126,7 +131,7 @@ class MergeBuilder:
         """All rows, deleted ones included, with the action taken on each."""
         if not self.matched and self.not_matched is None:
             raise ValueError("a merge needs at least one clause")
-        table = self._table_by_key() if self.keys else self._table_by_condition()
+        table = self._table_by_condition() if self.condition is not None else self._table_by_key()
         if self.not_matched is None:
             return table
         return table.unionByName(self._inserted())
@@ -148,24 +153,27 @@ class MergeBuilder:
     def _kept(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f"`{c}`") for c in self.target.columns], F.lit(KEPT).alias(ACTION))
 
+    def _keyed_source(self, source: DataFrame) -> tuple[DataFrame, list[str]]:
+        names = [f"_fl_k{i}" for i in range(len(self.match.source_keys))]
+        return source.withColumns(dict(zip(names, self.match.source_keys, strict=True))), names
+
     def _table_by_key(self) -> DataFrame:
         if not self.matched:
             return self._kept(self.target)
-        keys = self.keys
-        source = self.source.filter(none_null(keys))
-        source_keys = [f"_fl_k{i}" for i in range(len(keys))]
+        source, names = self._keyed_source(self.source)
+        source = source.filter(none_null(names))
         if self._only_plain_delete:
-            reduced = distinct_keys(source, keys, source_keys).withColumn(_HIT, F.lit(True))
+            reduced = distinct_keys(source, names, names).withColumn(_HIT, F.lit(True))
         else:
             if self.unique_source:
                 reduced = source.withColumn(_DUP, F.lit(False))
             else:
-                reduced = first_per_key(source, keys, [F.lit(1).asc()], flag=_DUP)
-            reduced = reduced.withColumns(
-                {**{s: F.col(k) for k, s in zip(keys, source_keys)}, **self._source_columns()}
-            )
-        on = all_of(F.col(f"{self.target_alias}.{k}") == F.col(s) for k, s in zip(keys, source_keys))
-        joined = self._target(self.target.filter(none_null(keys))).join(reduced, on, "left_outer")
+                reduced = first_per_key(source, names, [F.lit(1).asc()], flag=_DUP)
+            reduced = reduced.withColumns(self._source_columns())
+        target, keys = self._target(self.target), self.match.target_keys
+        complete = all_of(k.isNotNull() for k in keys)
+        on = all_of(k == F.col(n) for k, n in zip(keys, names, strict=True))
+        joined = target.filter(complete).join(reduced, on, "left_outer")
         if not self._only_plain_delete and not self.unique_source:
             violation = F.col(_HIT).isNotNull() & F.col(_DUP) & is_true(self.ambiguous_if)
             if self.ambiguous_if is not None:
@@ -174,24 +182,31 @@ class MergeBuilder:
                 violation &= reduce(or_, fires)
             joined = joined.filter(self._no_error(violation))
         decided = self._apply_matched(joined, F.col(_HIT).isNotNull())
-        if not any(f.nullable for f in self.target.select(*keys).schema.fields):
+        if not any(f.nullable for f in target.select(*keys).schema.fields):
             return decided
-        return decided.unionByName(self._kept(self.target.filter(any_null(keys))))
+        return decided.unionByName(self._kept(target.filter(~complete)))
+
+    def _sides(self, target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+        """Both sides and a condition that holds for the pairs that match, each once."""
+        target = self._target(target)
+        if self.match.band is None:
+            return target, source, self.condition
+        target, source = with_bins(target, source, self.match.band)
+        source = source.withColumnRenamed(BIN, f"{BIN}_s")
+        return target, source, (F.col(BIN) == F.col(f"{BIN}_s")) & self.condition
 
     def _table_by_condition(self) -> DataFrame:
         if not self.matched:
             return self._kept(self.target)
-        source = self.source.withColumns(self._source_columns())
-        target = self._target(self.target)
-        untouched = self._kept(target.join(self.source, self.condition, "left_anti"))
+        numbered = self.target.withColumn(_ROW, F.monotonically_increasing_id())
+        target, source, condition = self._sides(numbered, self.source.withColumns(self._source_columns()))
+        untouched = self._kept(target.join(source, condition, "left_anti"))
         if self._only_plain_delete:
-            gone = target.join(self.source, self.condition, "left_semi")
+            gone = target.join(source, condition, "left_semi")
             return untouched.unionByName(
-                gone.select(*[F.col(c) for c in self.target.columns], F.lit(DELETED).alias(ACTION))
+                gone.select(*[F.col(f"`{c}`") for c in self.target.columns], F.lit(DELETED).alias(ACTION))
             )
-        pairs = self._target(self.target.withColumn(_ROW, F.monotonically_increasing_id())).join(
-            source, self.condition, "inner"
-        )
+        pairs = target.join(source, condition, "inner")
         pairs = first_per_key(pairs, [_ROW], [F.lit(1).asc()], flag=_DUP).filter(self._no_error(F.col(_DUP)))
         return untouched.unionByName(self._apply_matched(pairs, F.lit(True)))
 
@@ -237,13 +252,7 @@ class MergeBuilder:
     def _inserted(self) -> DataFrame:
         clause = self.not_matched
         candidates = self.source.filter(is_true(clause.condition)) if clause.condition is not None else self.source
-        if self.keys:
-            new = self._unmatched_by_key(candidates)
-        else:
-            # As by key: cut the table down to what the source touches before it meets the
-            # source as the side that would have to be moved.
-            touched = self._target(self.target).join(candidates, self.condition, "left_semi")
-            new = candidates.join(self._target(touched), self.condition, "left_anti")
+        new = self._unmatched_by_condition(candidates) if self.condition is not None else self._unmatched_by_key(candidates)
         by_lower = {c.lower(): c for c in self.source.columns}
         columns = []
         for field in self.target.schema.fields:
@@ -255,21 +264,36 @@ class MergeBuilder:
         inserted = new.select(*columns, F.lit(INSERTED).alias(ACTION))
         return gather(inserted, self.gather_by)
 
+    def _unmatched_by_condition(self, candidates: DataFrame) -> DataFrame:
+        target, source, condition = self._sides(self.target, candidates)
+        if self.match.band is not None:
+            # A source row stands in several bins: what matches in one is told by what it compares.
+            found = source.join(target, condition, "left_semi")
+            found = found.select(*[F.col(f"`{c}`").alias(f"_fl_r{i}") for i, c in enumerate(self.match.reads)]).distinct()
+            same = all_of(F.col(f"`{c}`").eqNullSafe(F.col(f"_fl_r{i}")) for i, c in enumerate(self.match.reads))
+            return candidates.join(found, same, "left_anti")
+        if fits_broadcast(candidates):
+            target = target.join(source, condition, "left_semi")
+        return source.join(target, condition, "left_anti")
+
     def _unmatched_by_key(self, candidates: DataFrame) -> DataFrame:
-        keys = self.keys
-        wanted = distinct_keys(candidates.filter(none_null(keys)), keys, [f"_fl_w{i}" for i in range(len(keys))])
-        # Keys the table and the source share: never more than the source has.
+        candidates, keys = self._keyed_source(candidates)
         names = [f"_fl_t{i}" for i in range(len(keys))]
-        touched = (
-            self.target.filter(none_null(keys))
-            .select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-            .join(wanted, all_of(F.col(n) == F.col(f"_fl_w{i}") for i, n in enumerate(names)), "left_semi")
-            .distinct()
-        )
+        own = self.match.target_keys
+        stored = self._target(self.target).filter(all_of(k.isNotNull() for k in own))
+        stored = stored.select(*[k.alias(n) for k, n in zip(own, names, strict=True)])
+        if not fits_broadcast(candidates):
+            # Source rows with a null key are equal to nothing, and stay.
+            return candidates.join(stored, all_of(F.col(k) == F.col(n) for k, n in zip(keys, names, strict=True)), "left_anti")
+        # Keys the table and the source share: never more than the source has, and found
+        # without moving the table.
+        asked = [f"_fl_w{i}" for i in range(len(keys))]
+        wanted = distinct_keys(candidates.filter(none_null(keys)), keys, asked)
+        touched = stored.join(wanted, all_of(F.col(n) == F.col(w) for n, w in zip(names, asked, strict=True)), "left_semi").distinct()
         # Compared as one struct: both sides get an exchange, so a skewed source can be split,
         # and keys with a null, which ``touched`` never holds, stay unmatched.
-        kinds = [f.dataType for f in self.source.select(*keys).schema.fields]
-        same = F.struct(*keys) == F.struct(*[F.col(n).cast(t).alias(k) for k, n, t in zip(keys, names, kinds)])
+        kinds = [f.dataType for f in candidates.select(*keys).schema.fields]
+        same = F.struct(*keys) == F.struct(*[F.col(n).cast(t).alias(k) for k, n, t in zip(keys, names, kinds, strict=True)])
         return candidates.join(touched, same, "left_anti")
 
 
@@ -288,13 +312,17 @@ def merge(
     unique_source: bool = False,
     gather_by: Sequence[Column] = (),
     ambiguous_if: Column | None = None,
+    nested_loop: bool = False,
 ) -> MergeBuilder:
     """Start a merge of ``source`` into ``target``.
 
     ``on`` is a list of key columns common to both sides (null keys never match), or a
     predicate as SQL text or Column over ``<target_alias>.<column>`` and the source's
-    alias (``source_alias``, or the one given by ``source.alias(...)``). Prefer the list:
-    it lets the source be reduced per key before any row moves. ``unique_source`` vouches
+    alias (``source_alias``, or the one given by ``source.alias(...)``). A predicate that says
+    only which expressions are equal is a merge by keys, too, and its source is reduced per key
+    before any row moves. One with neither an equality nor a range between the two sides can only
+    be tried on every pair of rows; that is an error unless asked for by ``nested_loop``.
+    ``unique_source`` vouches
     that no key repeats in the source, and skips that check. ``gather_by`` brings inserted
     rows together by these expressions, for a write that makes files by them; rows of the
     table stay where they are. ``ambiguous_if`` limits the check for repeated keys to source
@@ -308,13 +336,28 @@ def merge(
             raise TypeError(f"{name}: expected a DataFrame, got {type(side).__name__}")
     if on is None:
         raise ValueError("on: key columns or a condition is required")
-    keys = condition = None
+    if source_alias is not None:
+        source = source.alias(source_alias)
     if isinstance(on, (list, tuple)):
         if not on or not all(isinstance(k, str) for k in on):
             raise TypeError("on: key columns must be a non-empty list of str")
-        keys = list(on)
+        condition = None
+        match = Match(
+            tuple(F.col(f"{target_alias}.`{k}`") for k in on),
+            tuple(F.col(f"`{k}`") for k in on),
+            exact=True,
+            band=None,
+            named=frozenset(k.lower() for k in on),
+            reads=(),
+        )
     else:
         condition = as_condition(on, "on")
-    if source_alias is not None:
-        source = source.alias(source_alias)
-    return MergeBuilder(target, source, keys, condition, target_alias, unique_source, tuple(gather_by), ambiguous_if)
+        match = analyse(target.alias(target_alias), source, condition)
+        if not match.joins and not nested_loop:
+            raise ValueError(
+                "on: the condition has no equality and no range between the table and the source; "
+                "nested_loop=True tries it on every pair of rows"
+            )
+        if match.exact:
+            condition = None
+    return MergeBuilder(target, source, match, condition, target_alias, unique_source, tuple(gather_by), ambiguous_if)

@@ -301,13 +301,13 @@ class LakeTable:
         else:
             writer.parquet(path)
 
-    def stage(self, changes: DataFrame, version: int) -> DataFrame:
+    def stage(self, changes: DataFrame, version: int, kind: str = "changes") -> DataFrame:
         """Write a reduced batch beside the table and read it back.
 
         The feed is then read once, a lost executor costs no replay of it, and Spark knows
         the batch's real size when it plans the merge.
         """
-        path = f"{self.root}/changes/version={version}"
+        path = f"{self.root}/{kind}/version={version}"
         changes.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
@@ -364,6 +364,6 @@ class TableMerge:
             if values is not None:
                 if self.table.moves_keys(values):
                     return True
-            elif layout.slices and not set(layout.keys) <= set(self.builder.keys or ()):
+            elif layout.slices and not {k.lower() for k in layout.keys} <= self.builder.match.named:
                 return True  # all columns are taken from a source row with maybe other keys
         return False

@@ -98,6 +98,50 @@ def test_merge_scans_keys_only_where_keys_suffice(spark, hot):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.fixture
+def shuffled(spark, small_partitions):
+    """Nothing is broadcast; the plan's exchanges are all there is to move."""
+
+
+def _work(df, inputs):
+    """(exchanges, joins, scans of each input) of the plan that ran; what is reused counts once."""
+    df.collect()
+    lines = [line.strip(" :+-*0123456789()") for line in plan(df).split("Initial Plan")[0].splitlines()]
+    exchanges = [line for line in lines if line.startswith("Exchange")]
+    joins = [line for line in lines if re.match(r"SortMergeJoin|ShuffledHashJoin", line)]
+    scans = [line for line in lines if line.startswith("FileScan")]
+    return len(exchanges), len(joins), [sum(i in scan for scan in scans) for i in inputs]
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """(target, feed) as files, with ties on stored and new keys left out of the stored ones."""
+    target = spark.range(0, 5000).selectExpr("id as k", "cast(id as string) as v", "1L as ts_ms")
+    feed = spark.range(0, 9000, 3).selectExpr("id as k", "'n' as v", "if(id % 7 = 0, 'd', 'u') as op", "id % 5 as ts_ms")
+    feed = feed.union(spark.range(6000, 6100).selectExpr("id as k", "'tied'", "'c'", "9L")).union(spark.range(6000, 6100).selectExpr("id", "'also'", "'c'", "9L"))
+    for name, df in (("target", target), ("feed", feed)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    return spark.read.parquet(f"{tmp_path}/target"), spark.read.parquet(f"{tmp_path}/feed")
+
+
+def test_a_batch_is_applied_in_few_passes(spark, stored, shuffled):
+    target, feed = stored
+    exchanges, joins, scans = _work(apply_changes(target, feed, ["k"]), ("/target]", "/feed]"))
+    assert exchanges <= 6 and joins <= 3 and scans[0] <= 2 and scans[1] <= 2
+    settled = feed.filter("v <> 'also'")
+    exchanges, joins, scans = _work(apply_changes(target, settled, ["k"], tie_break=["v"]), ("/target]", "/feed]"))
+    assert exchanges <= 5 and joins <= 2 and scans[0] <= 2
+
+
+def test_an_upsert_is_two_joins(spark, stored, shuffled):
+    target, feed = stored
+    source = feed.filter("v = 'n'")
+    for on in (["k"], "t.k = s.k"):
+        merged = merge(target, source.alias("s"), on).when_matched_update_all().when_not_matched_insert_all().to_df()
+        exchanges, joins, scans = _work(merged, ("/target]",))
+        assert exchanges <= 5 and joins == 2 and scans[0] <= 3  # one for rows without a key
+
+
 def test_library_collects_no_data_and_runs_no_python_on_rows():
     """Driver reads are single-row metadata; no user-defined functions, no RDDs."""
     banned = re.compile(r"toPandas|\.rdd\b|udf|applyInPandas|mapInPandas|toLocalIterator|crossJoin|localCheckpoint")
