@@ -33,8 +33,10 @@ AT_ONCE = 1 << 21
 
 def train(pages: DataFrame, sample: int = 300, most_chars: int = 20_000, laid_out: int = 2_000) -> Labeller:
     """A labeller for the kind of ``pages``; the same for the same pages."""
-    short = pages.select("page_id", "html").where(F.length("html").between(1, most_chars))
-    chosen = short.orderBy(F.xxhash64("page_id", "html"), "page_id").limit(sample).select("html").collect()
+    short = pages.select("html", F.xxhash64("page_id", "html").alias("h")).where(F.length("html").between(1, most_chars))
+    # Copies count once, and only the chosen pages come to the driver.
+    least = short.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = short.where(F.col("h") <= F.lit(least)).dropDuplicates(["h"]).orderBy("h").take(sample)
     crawled = [blocks(row.html) for row in chosen]
     known, labels = [], []
     for page in crawled:
