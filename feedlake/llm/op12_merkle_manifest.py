@@ -4,7 +4,8 @@ Leaves are numbered by one global sort. A tree is built from blocks of 3**4 = 81
 nodes: one grouping climbs four levels, so the built levels are stored as node rows that hold a
 node's siblings on those four levels and point at the node four levels up, in the last block of
 a source at its leaf in the tree over the sources. A recursive query then ascends from every
-leaf along those rows, appends the siblings and folds the hash that it started with.
+leaf along those rows, appends the siblings and folds the hash that it started with. The rows of
+leaves are where it starts; what it joins are the rows above them, an 81st of the leaves.
 
 No key meets in one task however large a source is: the sort deals a source, and rows equal in
 all columns too, over many partitions; a block is 81 nodes; and a node that many leaves pass on
@@ -27,6 +28,8 @@ from feedlake.llm.common import narrow, stage
 #: Nodes of a run, levels climbed by one row, leaves that use one copy of a node row.
 ARITY, LEVELS, SHARE = 3, 4, 2_000
 BLOCK = ARITY**LEVELS
+#: Rows of a task of frames much smaller than the leaves.
+TASK_ROWS = 100_000
 #: The tree over the sources.
 TOP = -1
 
@@ -38,7 +41,13 @@ def field(value: Column) -> Column:
 
 
 def leaf(text: Column) -> Column:
-    return F.sha2(F.concat(*(field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars")), field(text)), 256)
+    """The digest, binary as all that are stored; it is hashed as hex text."""
+    parts = (field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars"))
+    return F.unhex(F.sha2(F.concat(*parts, field(text)), 256))
+
+
+def hex_text(digests: Column) -> Column:
+    return F.lower(F.hex(digests))
 
 
 def without_newlines(docs: DataFrame) -> Column:
@@ -47,6 +56,11 @@ def without_newlines(docs: DataFrame) -> Column:
     return F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
 
 
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` rows at most, in tasks of no less than ``TASK_ROWS``."""
+    return df.coalesce(1 + rows // TASK_ROWS)
+
+
 def _runs(ordered: DataFrame, group: Column) -> DataFrame:
     """(g, part, first, before, n): where the run that each partition of ``ordered`` holds of a
     group begins, and how many rows of the group lie before it and in all."""
@@ -68,11 +82,12 @@ def numbered(df: DataFrame, group: str, *order: str) -> DataFrame:
     the sizes of the runs, of which a group has one a partition at most.
     """
     ordered = _sorted(df, group, *order)
-    runs = _runs(ordered, F.col(group))
-    groups = _sorted(runs.select("g").distinct(), "g")
-    numbers = groups.join(_runs(groups, F.lit(0)).drop("g"), F.shiftright("m", 33) == F.col("part"))
+    most = ordered.count()
+    runs = stage(_few(_runs(ordered, F.col(group)), most))
+    groups = _sorted(_few(runs.select("g").distinct(), most), "g")
+    numbers = groups.join(stage(_few(_runs(groups, F.lit(0)).drop("g"), most)), F.shiftright("m", 33) == F.col("part"))
     numbers = numbers.select(F.col("g").alias("name"), (F.col("m") - F.col("first") + F.col("before")).alias("tree"))
-    runs = runs.join(numbers, F.col("g").eqNullSafe(F.col("name")))
+    runs = stage(_few(runs.join(numbers, F.col("g").eqNullSafe(F.col("name"))), most))
     joined = ordered.join(runs, F.col(group).eqNullSafe(F.col("g")) & (F.shiftright("m", 33) == F.col("part")))
     return joined.select(*df.columns, "tree", "n", (F.col("m") - F.col("first") + F.col("before")).alias("pos"))
 
@@ -83,17 +98,17 @@ def _hashes(nodes: Column) -> Column:
     return F.transform(runs, lambda i: F.sha2(F.array_join(F.slice(nodes, i * ARITY + 1, ARITY), ""), 256))
 
 
-def _grow(nodes: DataFrame, number: int) -> DataFrame:
-    """Node rows of one storey: ``nodes`` (tree, pos, n, hash, leaves) and the way up from each."""
+def _grow(nodes: DataFrame, number: int, count: int) -> DataFrame:
+    """Node rows of one storey: ``nodes`` (tree, pos, n, hash, leaves, own) and the way up from each."""
     packed = nodes.groupBy("tree", F.floor(F.col("pos") / BLOCK).alias("block")).agg(
         F.max("n").alias("n"),
         F.sum("leaves").alias("up_leaves"),
-        F.array_sort(F.collect_list(F.struct("pos", "hash", "leaves"))).alias("members"),
+        F.sort_array(F.collect_list(F.struct("pos", "hash", "leaves", "own"))).alias("members"),
     )
     size = F.size("members")
     # A tree with more than one block needs all levels; the only block ends at a single node.
     steps = reduce(lambda c, k: c.when(size <= ARITY**k, k), range(1, LEVELS), F.when(F.col("n") > BLOCK, LEVELS).when(size == 1, 0))
-    packed = packed.withColumn("steps", steps.otherwise(LEVELS)).withColumn("level0", F.col("members.hash"))
+    packed = packed.withColumn("steps", steps.otherwise(LEVELS)).withColumn("level0", F.transform("members.hash", hex_text))
     for k in range(LEVELS):
         packed = packed.withColumn(f"level{k + 1}", F.when(F.col("steps") > k, _hashes(F.col(f"level{k}"))).otherwise(F.col(f"level{k}")))
     rows = packed.select("*", F.posexplode("members").alias("i", "member"))
@@ -102,19 +117,21 @@ def _grow(nodes: DataFrame, number: int) -> DataFrame:
         at = F.floor(F.col("i") / ARITY**k).cast("int")
         here, level = at % ARITY, F.col(f"level{k}")
         left, right = F.slice(level, at - here + 1, here), F.slice(level, at + 2, F.lit(ARITY - 1) - here)
-        return F.struct(F.array_join(left, "").alias("l"), F.array_join(right, "").alias("r"))
+        return F.struct(F.unhex(F.array_join(left, "")).alias("l"), F.unhex(F.array_join(right, "")).alias("r"))
 
     last = F.col("n") <= BLOCK
     top = F.col("tree") == TOP
     return stage(
-        rows.select(
+        _few(rows, 8 * count).select(
             "tree",
             F.lit(number).alias("storey"),
             F.col("member.pos").alias("pos"),
             F.col("member.leaves").alias("leaves"),
+            F.col("member.own").alias("own"),
+            F.col("member.hash").alias("hash"),
             "n",
             F.slice(F.array(*(siblings(k) for k in range(LEVELS))), F.lit(1), F.col("steps")).alias("path"),
-            F.element_at(f"level{LEVELS}", 1).alias("up"),
+            F.unhex(F.element_at(f"level{LEVELS}", 1)).alias("up"),
             "up_leaves",
             F.when(~last, F.col("tree")).when(~top, F.lit(TOP)).cast("long").alias("up_tree"),
             F.when(last, 0).otherwise(number + 1).alias("up_storey"),
@@ -123,58 +140,91 @@ def _grow(nodes: DataFrame, number: int) -> DataFrame:
     )
 
 
-def build(leaves: DataFrame) -> DataFrame:
-    """All node rows over ``leaves`` (tree, pos, n, hash): of each source's tree, then of the top."""
+def build(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Node rows over ``leaves`` (tree, pos, n, hash, own): those of the leaves, and all above."""
     storeys, ends = [], []
 
-    def raise_up(nodes: DataFrame) -> None:
+    def raise_up(nodes: DataFrame, count: int) -> None:
         number = 0
-        while True:
-            rows = _grow(nodes, number)
+        while count:
+            rows = _grow(nodes, number, count)
             storeys.append(rows)
             ends.append(rows.where(f"n <= {BLOCK} and pos = 0"))
             nodes = rows.where(f"n > {BLOCK} and pos % {BLOCK} = 0").select(
-                "tree", F.col("up_pos").alias("pos"), F.ceil(F.col("n") / BLOCK).alias("n"), F.col("up").alias("hash"), F.col("up_leaves").alias("leaves")
+                "tree",
+                F.col("up_pos").alias("pos"),
+                F.ceil(F.col("n") / BLOCK).alias("n"),
+                F.col("up").alias("hash"),
+                F.col("up_leaves").alias("leaves"),
+                F.lit(None).alias("own"),
             )
-            number += 1
-            if rows.where(f"n > {BLOCK}").isEmpty():
-                return
+            number, count = number + 1, nodes.count()
 
-    raise_up(leaves.select("tree", "pos", "n", "hash", F.lit(1).cast("long").alias("leaves")))
-    subroots = reduce(DataFrame.union, ends).select("tree", "up", "up_leaves")
+    raise_up(leaves.withColumn("leaves", F.lit(1).cast("long")), max(1, leaves.count()))
+    subroots = reduce(DataFrame.union, (rows.select("tree", "up", "up_leaves") for rows in ends))
     sources = subroots.count()
-    raise_up(subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(sources).alias("n"), F.col("up").alias("hash"), F.col("up_leaves").alias("leaves")))
-    return reduce(DataFrame.union, storeys)
+    tops = subroots.select(
+        F.lit(TOP).cast("long").alias("tree"),
+        F.col("tree").alias("pos"),
+        F.lit(sources).alias("n"),
+        F.col("up").alias("hash"),
+        F.col("up_leaves").alias("leaves"),
+        F.lit(None).alias("own"),
+    )
+    raise_up(tops, max(1, sources))
+    return storeys[0], reduce(DataFrame.union, (rows.drop("own", "hash") for rows in storeys[1:]))
 
 
+#: One row's way up: the hash folded with the siblings, the siblings, and where it leads.
+_FOLD = "aggregate({path}, {hash}, (h, s) -> unhex(sha2(lower(hex(concat(s.l, h, s.r))), 256)))"
+_APPEND = "aggregate({path}, {proof}, (p, s) -> concat(p, s.l, s.r))"
+_UP = f"""coalesce({{subroot}}, case when n.up_tree = {TOP} and n.tree <> {TOP} then n.up end),
+    case when n.up_tree is null then n.up end, n.up_tree, n.up_storey, n.up_pos, pmod(xxhash64({{row}}), n.up_copies)"""
+#: All joins are of one kind at every size: what moves then grows with the leaves alone.
 _CLIMB = f"""
-with recursive climb as (
-    select start, tree, 0 as storey, pos, 0L as copy, hash, cast(X'' as binary) as proof,
-           cast(null as string) as subroot, cast(null as string) as root
-    from {{starts}}
+with recursive climb(row, home, block, hash, proof, subroot, root, tree, storey, pos, copy) as (
+    select n.own.row, n.tree, n.pos div {BLOCK}, {_FOLD.format(path="n.path", hash="n.own.altered")},
+        case when n.pos % {BLOCK} = 0 then cast(X'' as binary) end, {_UP.format(subroot="cast(null as binary)", row="n.own.row")}
+    from {{starts}} n
     union all
-    select c.start, n.up_tree, n.up_storey, n.up_pos, pmod(xxhash64(c.start), n.up_copies),
-           aggregate(n.path, c.hash, (h, s) -> sha2(concat(s.l, h, s.r), 256)),
-           concat(c.proof, unhex(array_join(transform(n.path, s -> concat(s.l, s.r)), ''))),
-           coalesce(c.subroot, case when n.up_tree = {TOP} and n.tree <> {TOP} then n.up end),
-           case when n.up_tree is null then n.up end
+    select /*+ merge(n) */ c.row, c.home, c.block, {_FOLD.format(path="n.path", hash="c.hash")},
+        {_APPEND.format(path="n.path", proof="c.proof")}, {_UP.format(subroot="c.subroot", row="c.row")}
     from climb c join {{nodes}} n on c.tree = n.tree and c.storey = n.storey and c.pos = n.pos and c.copy = n.copy
 )
-select start, hash as folded_root, lower(hex(proof)) as siblings, subroot, root from climb where tree is null limit all
+select row, home, block, hash, proof, subroot, root from climb where tree is null limit all
 """
 
 
 def climb(starts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(start.*, folded_root, siblings, subroot, root) from ``starts`` (start, tree, pos, hash).
+    """(doc_id, leaf, folded_root, siblings, subroot, root) from the rows of leaves up to the root.
 
-    ``siblings`` are the digests beside the way to the root, joined; ``subroot`` and ``root`` are
-    those of the stored rows, ``folded_root`` what the given hash leads to.
+    Every leaf ascends with its ``own.altered`` and folds it. The siblings above a block are the
+    same for all of it: its first leaf appends them, and the others take them over at the end, each
+    after the siblings inside the block. ``subroot`` and ``root`` are those that were built.
     """
     copies = lambda leaves: F.ceil(F.col(leaves) / SHARE)
-    nodes = nodes.withColumn("up_copies", copies("up_leaves"))
+    rows, nodes = (x.withColumn("up_copies", copies("up_leaves")) for x in (starts, nodes))
     nodes = nodes.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies("leaves") - 1)))
-    found = starts.sparkSession.sql(_CLIMB, starts=starts, nodes=nodes)
-    return found.select("start.*", "folded_root", "siblings", "subroot", "root")
+    ended = stage(starts.sparkSession.sql(_CLIMB, starts=rows, nodes=nodes))
+    above = ended.where(F.col("proof").isNotNull()).select("home", "block", "proof", "subroot", "root")
+    here = starts.select(
+        "own.doc_id",
+        "own.row",
+        F.col("hash").alias("leaf"),
+        F.col("tree").alias("home"),
+        F.floor(F.col("pos") / BLOCK).alias("block"),
+        F.expr(_APPEND.format(path="path", proof="cast(X'' as binary)")).alias("inside"),
+    )
+    folded = ended.select("row", F.col("hash").alias("folded"))
+    found = here.join(folded.hint("merge"), "row").join(above.hint("merge"), ["home", "block"])
+    return found.select(
+        "doc_id",
+        hex_text(F.col("leaf")).alias("leaf"),
+        hex_text(F.col("folded")).alias("folded_root"),
+        hex_text(F.concat("inside", "proof")).alias("siblings"),
+        hex_text(F.col("subroot")).alias("subroot"),
+        hex_text(F.col("root")).alias("root"),
+    )
 
 
 def manifest(docs: DataFrame) -> DataFrame:
@@ -183,8 +233,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     hashed = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), leaf(without_newlines(docs)).alias("altered"))
     # The number of the row settles ties, so that rows equal in all columns spread, too.
     leaves = numbered(stage(hashed.withColumn("row", F.monotonically_increasing_id())), "source", "doc_id", "leaf", "row")
-    leaves = stage(leaves.select("doc_id", "leaf", "altered", "row", "tree", "pos", "n"))
-    nodes = build(leaves.withColumnRenamed("leaf", "hash"))
-    starts = leaves.select(F.struct("doc_id", "leaf", "row").alias("start"), "tree", "pos", F.col("altered").alias("hash"))
-    found = climb(starts, nodes)
-    return found.drop("row").withColumn("verified", F.col("folded_root") == F.col("root"))
+    own = F.struct("doc_id", "row", "altered")
+    leaves = stage(leaves)
+    starts, nodes = build(leaves.select("tree", "pos", "n", F.col("leaf").alias("hash"), own.alias("own")))
+    return climb(starts, nodes).withColumn("verified", F.col("folded_root") == F.col("root"))
