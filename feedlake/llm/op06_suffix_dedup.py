@@ -31,7 +31,7 @@ ANCHOR_BYTES = 48
 def judge(strings: list[np.ndarray], single: np.ndarray, size: int) -> list[np.ndarray]:
     """Whether each window of each string starts at another place of the shard."""
     text, at = lay_out(strings)
-    sa = suffix_array(text, at, size)
+    sa = suffix_array(text, at)  # common prefixes are carried on only in full order
     shared = common_prefixes(text, at, sa, size)[sa] >= size
     repeated = np.zeros(len(text), bool)
     repeated[sa] = shared | np.concatenate([shared[1:], [False]])

@@ -18,8 +18,8 @@ def lay_out(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return text, at
 
 
-def suffix_array(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes ordered by their first ``depth`` values at least.
+def suffix_array(text: np.ndarray, at: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Suffixes in order, or ordered by their first ``depth`` values at least.
 
     Larsson-Sadakane refinement: a suffix's rank is the first place of its group; a round with
     step h orders every group of more than one suffix by the rank of what follows h further on,
@@ -45,7 +45,7 @@ def suffix_array(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         rank[sa] = group
         alone = first & np.concatenate([first[1:], [True]])
         rest = np.flatnonzero(~alone)
-        if h >= depth or not len(rest):
+        if not len(rest) or (depth is not None and h >= depth):
             break
         where = sa[rest]
         beyond = where + h
@@ -63,7 +63,7 @@ def suffix_array(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(text: np.ndarray, at: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Per suffix, the values it shares with the suffix before it in the array, ``most`` at most.
 
-    Kasai's walk: from one place of a string to the next the shared length falls by one at most.
+    ``sa`` must be in full order. Kasai's walk: from one place of a string to the next the shared length falls by one at most.
     All strings are walked side by side; a step either lengthens the match of a string's place
     or settles that place and goes to the next.
     """

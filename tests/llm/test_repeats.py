@@ -89,3 +89,26 @@ def test_matching_statistics():
                 break
             want = k
         assert n == want
+
+
+@pytest.mark.parametrize("op", [by_word, by_byte])
+def test_judge_over_long_shared_runs(op):
+    """Strings longer than what the first sort and the doubling steps reach, with runs in common."""
+    size = 10
+    for seed in range(150):
+        r = np.random.default_rng(seed)
+        letters = int(r.integers(2, 6))
+        base = r.integers(1, letters + 1, 150)
+        strings = []
+        for _ in range(int(r.integers(2, 7))):
+            a = int(r.integers(0, 100))
+            own = np.concatenate([r.integers(1, letters + 1, int(r.integers(0, 30))), base[a : a + int(r.integers(5, 50))]])
+            if r.random() < 0.3:
+                own = np.concatenate([own, own])
+            strings.append(np.concatenate([own, r.integers(1, letters + 1, size)]))
+        starts = {}
+        for s in strings:
+            for i in range(len(s) - size + 1):
+                starts[s[i : i + size].tobytes()] = starts.get(s[i : i + size].tobytes(), 0) + 1
+        for s, repeated in zip(strings, op.judge(strings, np.ones(len(strings), bool), size), strict=True):
+            assert repeated.tolist() == [starts[s[i : i + size].tobytes()] > 1 for i in range(len(s) - size + 1)]
