@@ -38,7 +38,7 @@ def bucket_edges(buckets: DataFrame, payload: DataFrame, column: str, alike: Cal
     """(a, b) that connect the nodes of small buckets that ``alike`` takes for similar.
 
     ``payload`` has (node, ``column`` binary); ``alike`` compares rows of two equally long
-    matrices of bytes.
+    matrices of bytes, so nodes whose bytes differ in number are never alike.
     """
     small = buckets.where(f"size <= {LIMIT}")
     n = small.count()
@@ -67,7 +67,7 @@ def bucket_edges(buckets: DataFrame, payload: DataFrame, column: str, alike: Cal
         return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
     with_rows = small.join(payload, "node").withColumn("shard", F.pmod("path", F.lit(shards)))
-    return with_rows.select("shard", "path", "node", column).groupBy("shard").applyInArrow(run, "a long, b long")
+    return with_rows.select("shard", "path", "node", column).groupBy("shard", F.length(column)).applyInArrow(run, "a long, b long")
 
 
 def coarse_groups(edges: DataFrame, dense: DataFrame) -> DataFrame:

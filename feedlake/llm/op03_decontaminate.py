@@ -18,6 +18,7 @@ and text share one result); further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,16 +116,28 @@ def phrase_matches(indexed: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.groupBy("window", "n", "d", "h", "start").agg(F.count(F.lit(1)).alias("met")).where("met = n").drop("met")
 
 
+def _blocks(items: DataFrame) -> Iterator[DataFrame]:
+    """The terms of the items, in parts of about ``BLOCK_TERMS`` terms."""
+    listed = stage(test_terms(items))
+    total = listed.agg(F.sum(F.size("terms"))).first()[0] or 0
+    blocks = -(-total // BLOCK_TERMS) or 1
+    for block in range(blocks):
+        yield listed.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == block)
+
+
+def _known(part: DataFrame) -> np.ndarray:
+    return np.asarray(part.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].combine_chunks(), np.int64)
+
+
 def proximity_matches(docs: DataFrame, items: DataFrame, terms: int = 3, span: int = 20) -> DataFrame:
     """(item_id, doc_id, start, stop): where the ``terms`` rarest different terms of an item, or
     all it has, stand within ``span`` words, in any order; start and stop are the outermost.
     A place is reported by its leftmost term."""
-    listed = stage(test_terms(items))
-    known = listed.select(F.explode("terms").alias("term")).distinct()
-    n = known.count()
-    if n > BLOCK_TERMS:
-        raise ValueError(f"{n} terms of test items; ask for at most {BLOCK_TERMS} at once")
-    found = index(docs, np.array([r.term for r in known.collect()], np.int64), 1)
+    return reduce(DataFrame.union, (_proximity(docs, part, terms, span) for part in _blocks(items)))
+
+
+def _proximity(docs: DataFrame, listed: DataFrame, terms: int, span: int) -> DataFrame:
+    found = index(docs, _known(listed), 1)
     postings = _postings(found)
     counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
     each = listed.select("item_id", F.explode(F.array_distinct("terms")).alias("term"))
@@ -142,14 +155,10 @@ def proximity_matches(docs: DataFrame, items: DataFrame, terms: int = 3, span: i
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """Per row of ``docs``: (doc_id, d, h, n_words, n_hit, items array<string> sorted)."""
-    listed = stage(test_terms(items))
-    total = listed.agg(F.sum(F.size("terms"))).first()[0] or 0
-    blocks = -(-total // BLOCK_TERMS) or 1
     hits, rows = None, None
-    for block in range(blocks):
-        part = listed.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == block)
+    for part in _blocks(items):
         wanted = stage(windows(part, size))
-        known = np.asarray(part.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].combine_chunks(), np.int64)
+        known = _known(part)
         least = wanted.agg(F.min(F.size("terms"))).first()[0] or 1
         indexed = index(docs, known, least)
         rows = rows if rows is not None else indexed.select("doc_id", "d", "h", "n_words")

@@ -130,15 +130,7 @@ def near_vectors(table: DataFrame, threshold: float = 0.9) -> DataFrame:
 
     members = packed.select("node", "unit").mapInArrow(batched(hashed), "path long, node long")
     buckets = stage(sized_buckets(members.distinct()))
-    sized = packed.withColumn("bytes", F.length("unit"))
-    lengths = [r.bytes for r in sized.select("bytes").distinct().collect()]
-    edges = None
-    for size in lengths:
-        own = sized.where(F.col("bytes") == size).select("node", "unit")
-        found = bucket_edges(buckets.join(own.select("node"), "node"), own, "unit", close)
-        edges = found if edges is None else edges.union(found)
-    if edges is None:
-        edges = packed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    edges = bucket_edges(buckets, packed.select("node", "unit"), "unit", close)
     groups = stage(coarse_groups(edges, buckets.where(f"size > {LIMIT}").select("path", "node")))
     counts, links = exact_links(groups, packed, compare)
     placed = nodes.join(counts, "node", "left").join(components(links), "node", "left").select("v", "c", "links", "least_id", F.coalesce("component", "node").alias("part"))
