@@ -229,21 +229,22 @@ def apply_batch(
     A sliced table is read and rewritten only where the batch falls.
     ``batch`` labels the commit; ``LakeTable.has_batch`` tells whether a label was committed.
     """
+    table.recover()
     last = table.version
     version = 0 if last is None else last + 1
     reduced = table.stage(reduce_changes(feed, keys, ts, tie_break), version)
     tied = None
     if tie_break is None and not reduced.filter(TIED).isEmpty():
         tied = table.stage(tied_changes(feed, reduced, keys, ts), version, "ties")
-    slices = table.layout.slices_in(reduced) if table.layout.slices else None
+    touched = table.stage(table.slices_of(reduced), version, "touched") if table.layout.slices else None
     if last is None:
         target = reduced.drop(IS_DELETE, TIED).limit(0)
     else:
-        target = table.snapshot(last, slices)
+        target = table.snapshot(last) if touched is None else table.in_slices(touched)
     actions = apply_actions(
         target, reduced, tied, keys, ts, guard, gather_by=table.layout.file_columns(), aligned=bool(table.layout.buckets)
     )
-    return table.commit(actions, "merge", version, batch, slices)
+    return table.commit(actions, "merge", version, batch, touched)
 
 
 def first_load(feed: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:

@@ -1,10 +1,17 @@
-"""A table kept as numbered Parquet snapshots.
+"""A table kept as numbered Parquet snapshots, or as one Parquet table partitioned by slice.
 
 ``<root>/snapshot=<n>/`` holds what commit n wrote. ``<root>/commits/version=<n>/`` is one
-row about that commit, with the folders that make up the table then, and is written last:
-it makes the commit valid, so a run that dies half-way leaves nothing visible and the next
-run writes the same number again. Readers pin folders; no writer touches a folder that has
-been committed. One writer per table.
+row about that commit, and is written last: it makes the commit valid, so a run that dies
+half-way leaves nothing visible and the next run writes the same number again. No writer touches
+a snapshot that has been committed. One writer per table.
+
+A sliced table has its rows in ``<root>/data``, partitioned by the slice. A commit writes the new
+content of the slices that it touches aside, in ``<root>/pending``, announces itself in
+``<root>/intents``, and lets Spark overwrite just those partitions. A writer that finds an
+announced commit that was not finished finishes it first; until then, and while partitions are
+being overwritten, readers may see some slices as they were and some as they will be. Only the
+current rows are kept. A slice that loses all its rows keeps one that marks it as overwritten and
+that no reader sees.
 """
 
 from __future__ import annotations
@@ -14,7 +21,7 @@ import json
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import BooleanType, LongType, StructType
 
 from feedlake.functions.expressions import as_condition, gather
 from feedlake.operators.merge import MergeBuilder, merge
@@ -29,9 +36,11 @@ from feedlake.operators.rowchanges import (
     update_actions,
 )
 from feedlake.sources.layout import SLICE, Layout
-from feedlake.sources.storage import folders, newest_folder, repeatable
+from feedlake.sources.storage import newest_folder, repeatable
 
 _ROOT_PROPERTY = "feedlake.root"
+#: False in the row that marks a slice without rows.
+HELD = "fl_held"
 
 
 @dataclass(frozen=True)
@@ -108,36 +117,29 @@ class LakeTable:
         """Point the catalog view ``name`` at the current snapshot."""
         version = self._current()
         commit = self._commit(version)
+        held = ""
         if not self.layout.slices:
-            relation = f"parquet.`{self.root}/{commit['folders'][0]}`"
+            relation = f"parquet.`{self.root}/snapshot={version}`"
         else:
-            relation = self._slice_table(name, version, commit)
+            relation, held = self._slice_table(name, commit), f" where {HELD}"
         columns = ", ".join(f"`{c}`" for c in _schema(commit).names)
         self.spark.sql(
             f"create or replace view {name} tblproperties ('{_ROOT_PROPERTY}' = '{self.root}') "
-            f"as select {columns} from {relation}"
+            f"as select {columns} from {relation}{held}"
         )
         return replace(self, registered=name)
 
-    def _slice_table(self, name: str, version: int, commit: Row) -> str:
-        """A catalog table over the folders of a snapshot, each a partition with its own place.
-
-        The one before is kept for readers of the old view; older ones are dropped from the
-        catalog, which leaves their files alone.
-        """
+    def _slice_table(self, name: str, commit: Row) -> str:
+        """The catalog table over the partitions, made known to it by Spark."""
         sql = self.spark.sql
-        relation = f"{name}__{version}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(commit).fields)
-        sql(f"drop table if exists {relation}")
-        sql(
-            f"create table {relation} ({columns}, {SLICE} bigint) using parquet partitioned by ({SLICE}) "
-            f"location '{self.root}/snapshot={version}'"
-        )
-        parts = [f"partition ({SLICE}={f.rsplit('=', 1)[1]}) location '{self.root}/{f}'" for f in commit["folders"]]
-        if parts:
-            sql(f"alter table {relation} add {' '.join(parts)}")
-        if version >= 2:
-            sql(f"drop table if exists {name}__{version - 2}")
+        relation = f"{name}__data"
+        wanted = [(f.name, f.dataType.simpleString()) for f in _schema(commit).fields] + [(HELD, "boolean"), (SLICE, "bigint")]
+        if self.spark.catalog.tableExists(relation):
+            if self.spark.table(relation).dtypes != wanted:
+                sql(f"drop table {relation}")  # an external table: its files stay
+        columns = ", ".join(f"`{c}` {kind}" for c, kind in wanted)
+        sql(f"create table if not exists {relation} ({columns}) using parquet partitioned by ({SLICE}) location '{self.root}/data'")
+        sql(f"msck repair table {relation} sync partitions")
         return relation
 
     def alias(self, name: str) -> LakeTable:
@@ -165,26 +167,39 @@ class LakeTable:
         mark = hashlib.sha256(self.root.encode()).hexdigest()[:16]
         return f"{self.layout.database}.{self.root.rsplit('/', 1)[-1].replace('.', '_')}_{mark}__{version}"
 
-    def snapshot(self, version: int, slices: list[int] | None = None) -> DataFrame:
-        """The table as of a commit, or the given slices of it."""
+    def snapshot(self, version: int) -> DataFrame:
+        """The table as of a commit; a sliced table has its current rows only."""
         if self.layout.buckets:
             name = self._bucketed_name(version)
             if self.spark.catalog.tableExists(name):
                 return self.spark.table(name)
-        commit = self._commit(version)
-        schema, parts = _schema(commit), list(commit["folders"])
-        if slices is not None:
-            wanted = {f"{SLICE}={n}" for n in slices}
-            parts = [p for p in parts if p.rsplit("/", 1)[-1] in wanted]
-        if not parts:
-            return self.spark.createDataFrame([], schema).limit(0)
-        reader = self.spark.read
-        if any(SLICE in p for p in parts):
-            # The slice is a partition column here, so later filters on it prune folders.
-            reader = reader.option("basePath", self.root).schema(StructType(schema.fields).add(SLICE, LongType()))
-        else:
-            reader = reader.schema(schema)
-        return reader.parquet(*[f"{self.root}/{p}" for p in parts]).select(*[F.col(f"`{c}`") for c in schema.names])
+        schema = _schema(self._commit(version))
+        if not self.layout.slices:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/snapshot={version}")
+        if version != self.version:
+            raise ValueError(f"{self.root}: a sliced table keeps its current rows only")
+        return self._slices(schema).select(*[F.col(f"`{c}`") for c in schema.names])
+
+    def _slices(self, schema: StructType) -> DataFrame:
+        """The rows with the slice that each lies in, a partition column."""
+        stored = StructType(schema.fields).add(HELD, BooleanType()).add(SLICE, LongType())
+        return self.spark.read.schema(stored).parquet(f"{self.root}/data").where(HELD)
+
+    def in_slices(self, touched: DataFrame) -> DataFrame:
+        """The rows of the slices listed in ``touched``: a join on the partition column, by which
+        Spark prunes the partitions that it reads."""
+        schema = _schema(self._commit(self._current()))
+        # Spark prunes by a side that it takes to be a selection, which a comparison tells it.
+        listed = touched.where(F.col(SLICE) > F.lit(-(1 << 63)))
+        rows = self._slices(schema).join(listed, SLICE, "left_semi")
+        return rows.select(*[F.col(f"`{c}`") for c in schema.names])
+
+    def slices_of(self, rows: DataFrame) -> DataFrame:
+        """The slices that rows with the table's keys fall in, each once."""
+        schema = _schema(self._commit(self._current())) if self.version is not None else rows.schema
+        kinds = {f.name.lower(): f.dataType for f in schema.fields}
+        keys = [F.col(f"`{k}`").cast(kinds[k.lower()]).alias(k) for k in self.layout.keys]
+        return rows.select(*keys).select(self.layout.slice_of().alias(SLICE)).distinct()
 
     def to_df(self) -> DataFrame:
         return self.snapshot(self._current())
@@ -192,7 +207,7 @@ class LakeTable:
     def history(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first."""
         self._current()
-        commits = self.spark.read.parquet(f"{self.root}/commits").drop("folders", "schema", "layout").orderBy(F.desc("version"))
+        commits = self.spark.read.parquet(f"{self.root}/commits").drop("replaces", "schema", "layout").orderBy(F.desc("version"))
         return commits if limit is None else commits.limit(limit)
 
     def show_history(self, rows: int = 20) -> None:
@@ -212,9 +227,11 @@ class LakeTable:
         return self.commit(actions, operation, replaces=True, aligned=True)
 
     def delete(self, condition=None) -> int:
+        self.recover()
         return self.commit(delete_actions(self.to_df(), as_condition(condition)), "delete", aligned=True)
 
     def update(self, condition=None, set=None) -> int:
+        self.recover()
         actions = update_actions(self.to_df(), set, condition)
         moves = self.moves_keys(set)
         return self.commit(actions, "update", replaces=moves, aligned=not moves)
@@ -230,76 +247,87 @@ class LakeTable:
         operation: str,
         version: int | None = None,
         batch: str | None = None,
-        slices: list[int] | None = None,
+        touched: DataFrame | None = None,
         replaces: bool = False,
         aligned: bool = False,
     ) -> int:
         """Write the outcome of ``actions`` as the next snapshot and record it.
 
         The counts are observed while the snapshot is written, in the same job.
-        In a sliced table only ``slices`` (by default those with a change, found first) are
-        written and counted, unless ``actions`` ``replaces`` the table as a whole, as it must
-        if it changes the keys of stored rows. Its rows are brought
-        together by slice first, unless they are ``aligned``: lie as they were stored.
+        In a sliced table only the slices ``touched`` are written and counted, of which ``actions``
+        then has all rows; without it they are those with a change, found first. If ``actions``
+        ``replaces`` the table, as it must if it changes the keys of stored rows, all are written.
+        Its rows are brought together by slice first, unless they are ``aligned``: lie as they
+        were stored.
         """
-        current = self.version
         if version is None:
+            current = self.version
             version = 0 if current is None else current + 1
         schema = actions.drop(ACTION).schema
-        carried = []
         if self.layout.slices:
-            reserved = {"snapshot", SLICE} & {n.lower() for n in schema.names}
+            reserved = {HELD, SLICE} & {n.lower() for n in schema.names}
             if reserved:
                 raise ValueError(f"a sliced table cannot have columns named {sorted(reserved)}")
-            if not replaces:
-                if slices is None:
-                    slices = self.layout.slices_in(actions.filter(F.col(ACTION) != KEPT))
-                rewritten = {f"{SLICE}={n}" for n in slices}
-                if current is not None:
-                    old = self._commit(current)["folders"]
-                    carried = [f for f in old if f.rsplit("/", 1)[-1] not in rewritten]
             actions = actions.withColumn(SLICE, self.layout.slice_of())
-            if not replaces:
-                actions = actions.filter(F.col(SLICE).isin(slices))
+            if not replaces and touched is None:
+                changed = actions.filter(F.col(ACTION) != KEPT).select(SLICE).distinct()
+                touched = self.stage(changed, version, "touched")
+                actions = actions.join(touched, SLICE, "left_semi").select(*actions.columns)
             if not aligned:
                 actions = gather(actions, self.layout.file_columns())
         seen = Observation()
-        self._write(resolve(actions.observe(seen, *metric_columns())), version)
+        self._write(resolve(actions.observe(seen, *metric_columns())), version, touched)
         counts = seen.get
-        here = f"snapshot={version}"
-        written = [here]
-        if self.layout.slices:
-            written = [f"{here}/{f}" for f in folders(self.spark, f"{self.root}/{here}")]
-        (
-            self.spark.range(1, numPartitions=1)
-            .select(
-                F.lit(operation).alias("operation"),
-                F.lit(batch).cast("string").alias("batch"),
-                *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
-                F.current_timestamp().alias("committed_at"),
-                F.lit(schema.json()).alias("schema"),
-                F.lit(self.layout.to_json()).alias("layout"),
-                F.split(F.lit(",".join(carried + written)), ",").alias("folders")
-                if carried + written
-                else F.array().cast("array<string>").alias("folders"),
-            )
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/commits/version={version}")
+        record = self.spark.range(1, numPartitions=1).select(
+            F.lit(operation).alias("operation"),
+            F.lit(batch).cast("string").alias("batch"),
+            *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
+            F.current_timestamp().alias("committed_at"),
+            F.lit(schema.json()).alias("schema"),
+            F.lit(self.layout.to_json()).alias("layout"),
+            F.lit(replaces).alias("replaces"),
         )
+        if self.layout.slices:
+            record.write.mode("overwrite").parquet(f"{self.root}/intents/version={version}")
+            self._overwrite(version)
+        else:
+            record.write.mode("overwrite").parquet(f"{self.root}/commits/version={version}")
         if self.registered:
             self.register(self.registered)
         return version
 
-    def _write(self, content: DataFrame, version: int) -> None:
-        writer = content.write.mode("overwrite")
+    def _write(self, content: DataFrame, version: int, touched: DataFrame | None) -> None:
         path = f"{self.root}/snapshot={version}"
         if self.layout.buckets:
-            writer = writer.format("parquet").bucketBy(self.layout.buckets, *self.layout.keys)
+            writer = content.write.mode("overwrite").format("parquet").bucketBy(self.layout.buckets, *self.layout.keys)
             writer.sortBy(*self.layout.keys).option("path", path).saveAsTable(self._bucketed_name(version))
         elif self.layout.slices:
-            writer.partitionBy(SLICE).parquet(path)
+            content = content.withColumn(HELD, F.lit(True))
+            if touched is not None:
+                marks = touched.withColumn(HELD, F.lit(False))
+                content = content.unionByName(marks, allowMissingColumns=True)
+            content.write.mode("overwrite").partitionBy(SLICE).parquet(f"{self.root}/pending/version={version}")
         else:
-            writer.parquet(path)
+            content.write.mode("overwrite").parquet(path)
+
+    def _overwrite(self, version: int) -> None:
+        """Finish an announced commit; doing so again changes nothing."""
+        record = self.spark.read.parquet(f"{self.root}/intents/version={version}")
+        row = record.first()
+        stored = StructType(_schema(row).fields).add(HELD, BooleanType()).add(SLICE, LongType())
+        content = self.spark.read.schema(stored).parquet(f"{self.root}/pending/version={version}")
+        mode = "static" if row["replaces"] else "dynamic"
+        content.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(SLICE).parquet(f"{self.root}/data")
+        record.write.mode("overwrite").parquet(f"{self.root}/commits/version={version}")
+
+    def recover(self) -> None:
+        """Finish the commit that a writer announced but did not live to finish."""
+        if not self.layout.slices:
+            return
+        announced = newest_folder(self.spark, f"{self.root}/intents", "version")
+        current = self.version
+        if announced is not None and (current is None or announced > current):
+            self._overwrite(announced)
 
     def stage(self, changes: DataFrame, version: int, kind: str = "changes") -> DataFrame:
         """Write a reduced batch beside the table and read it back.
@@ -313,6 +341,7 @@ class LakeTable:
 
     def has_batch(self, label: str) -> bool:
         """Whether a commit bears this batch label."""
+        self.recover()
         if self.version is None:
             return False
         commits = self.spark.read.parquet(f"{self.root}/commits")
@@ -355,8 +384,24 @@ class TableMerge:
         the two passes over a sliced table must all see the same rows, also of a source that
         gives others each time it is read.
         """
-        builder = replace(self.builder, source=repeatable(self.builder.source, self.table.root))
-        return self.table.commit(builder.actions(), "merge", replaces=self._moves_keys())
+        table, source = self.table, repeatable(self.builder.source, self.table.root)
+        table.recover()
+        builder, touched, moves = replace(self.builder, source=source), None, self._moves_keys()
+        if table.layout.slices:
+            builder = replace(builder, target=table.to_df())
+            if not moves and self._stays_in_slices():
+                # What the source does happens in the slices of its own rows.
+                version = table.version + 1
+                touched = table.stage(table.slices_of(source), version, "touched")
+                builder = replace(builder, target=table.in_slices(touched))
+        return table.commit(builder.actions(), "merge", touched=touched, replaces=moves)
+
+    def _stays_in_slices(self) -> bool:
+        """Whether all rows that change have the keys of a source row, by name."""
+        keys = {k.lower() for k in self.table.layout.keys}
+        inserted = self.builder.not_matched
+        named = keys <= self.builder.match.named and keys <= {c.lower() for c in self.builder.source.columns}
+        return named and (inserted is None or inserted.values is None)
 
     def _moves_keys(self) -> bool:
         layout = self.table.layout

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 SLICE = "fl_slice"
 
@@ -15,10 +15,10 @@ class Layout:
     """``buckets``: a snapshot is a table bucketed by the keys, known to the catalog
     ``database``. Merges and diffs read it without an exchange, and rewrite all of it.
 
-    ``slices``: a snapshot is made of folders by slice, a number that depends on the keys
+    ``slices``: the table is partitioned by slice, a number that depends on the keys
     only; either a count (slices by key hash) or SQL text over the key columns, such as
-    ``id div 1000000`` for keys given out in order. A batch reads and rewrites the slices
-    it touches; all other folders are carried over.
+    ``id div 1000000`` for keys given out in order. A batch reads and overwrites the
+    partitions it touches. Earlier snapshots are not kept.
 
     Neither: one folder of Parquet files, rewritten as a whole.
     """
@@ -52,10 +52,6 @@ class Layout:
             number = F.expr(self.slices)
         return F.coalesce(number.cast("long"), F.lit(-1).cast("long"))
 
-    def slices_in(self, rows: DataFrame) -> list[int]:
-        """The slices ``rows`` fall in, as folder numbers."""
-        return [r[0] for r in rows.select(self.slice_of().alias(SLICE)).distinct().collect()]
-
     def file_columns(self) -> list[Column]:
         """What the rows of one file have in common, if anything."""
         if self.buckets:

@@ -36,12 +36,6 @@ def newest_folder(spark: SparkSession, root: str, name: str) -> int | None:
     return None
 
 
-def folders(spark: SparkSession, root: str) -> list[str]:
-    """Names of the folders in ``root``."""
-    fs, p = _path(spark, root)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-
-
 def repeatable(df: DataFrame, root: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder; its columns keep their aliases.
 
