@@ -85,7 +85,7 @@ def main() -> None:
     top = target.agg(F.max("k")).first()[0]
     local = keep(orders.filter(F.col("k") > top * 0.95), "batch_local")
     spark.sql(f"create database bench location '{folder}/bench'")
-    after = keep(apply_changes(target, orders, ["k"]), "after")
+    after = keep(apply_changes(target, orders, ["k"], tie_break=["st"]), "after")
 
     def table(layout: Layout = Layout()) -> LakeTable:
         root = f"{folder}/table_{next(stored)}"

@@ -128,6 +128,31 @@ def _late_last_batch_wins(spark, sf_dir):
     return apply_changes(target, spark.sql(_LATE, target=target), ["k"])
 
 
+@check(
+    "late_tombstones",
+    f"""with t as ({ORDER_TARGET})
+        select k, st, price, ts_ms from t where st = 'O'
+        union all select k, 'N', price, ts_ms + 9000 from t where st = 'F' and k % 2 = 0
+        union all select k, st, price, ts_ms from t where st = 'P' and k % 3 <> 0
+        union all select k, 'N', price, ts_ms + 20 from t where st = 'P' and k % 3 = 0""",
+)
+def _late_tombstones(spark, sf_dir):
+    """Filled orders are deleted; then changes arrive that are older than the deletion, and some newer."""
+    table = LakeTable.at(spark, f"{workspace(spark)}/orders")
+    target = order_target(spark, sf_dir)
+    table.create(target)
+    batches = (
+        "select k, st, price, 'd' as op, ts_ms + 5000 as ts_ms from {t} where st = 'F'",
+        "select k, 'L' as st, price, 'u' as op, ts_ms + 1000 + k % 4001 as ts_ms from {t} where st = 'F'",
+        "select k, 'N' as st, price, 'c' as op, ts_ms + 9000 as ts_ms from {t} where st = 'F' and k % 2 = 0",
+        "select k, 'N' as st, price, 'u' as op, if(k % 3 = 0, ts_ms + 20, ts_ms - 20) as ts_ms from {t} where st = 'P'",
+        "select k, 'X' as st, price, 'u' as op, ts_ms + 5000 as ts_ms from {t} where st = 'F'",
+    )
+    for sql in batches:
+        apply_batch(table, spark.sql(sql, t=target), ["k"], guard="ts_ms", tombstones=10**15)
+    return table.to_df()
+
+
 _FIRST_PART = f"select * from ({ORDER_FEED}) where op = 'r'"
 _SECOND_PART = f"select * from ({ORDER_FEED}) where op <> 'r'"
 _AFTER_FIRST = f"select k, st, price, ts_ms from ({_FIRST_PART})"

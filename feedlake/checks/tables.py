@@ -60,6 +60,17 @@ def _bootstrap_parquet(spark, sf_dir):
     return table.to_df()
 
 
+@check("bootstrap_in_place", ORDER_TARGET)
+def _bootstrap_in_place(spark, sf_dir):
+    """A partitioned Parquet table of others, read through the catalog without a file of it rewritten."""
+    folder = workspace(spark)
+    order_target(spark, sf_dir).write.partitionBy("st").parquet(f"{folder}/existing")
+    table = LakeTable.adopt(spark, f"{folder}/existing", f"{folder}/adopted", "st string")
+    name = f"{database(spark, folder)}.orders"
+    table.register(name)
+    return spark.table(name).select("k", "st", "price", "ts_ms")
+
+
 @check(
     "table_handle",
     f"""with t as ({ORDER_TARGET}), s as ({ORDER_SOURCE}),

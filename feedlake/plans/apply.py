@@ -77,6 +77,37 @@ def effective_changes(feed: DataFrame, keys: list[str], ts: str = "ts_ms", tie_b
     return reduced.filter(~F.col(TIED)).drop(TIED).unionByName(tied_changes(feed, reduced, keys, ts))
 
 
+def without_buried(reduced: DataFrame, tombstones: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:
+    """``reduced`` without the upserts that are no newer than the deletion of their key.
+
+    ``tombstones`` has the keys and ``ts``, once a key. A key deleted at the time of an upsert stays
+    deleted, as in one batch. Rows without a complete key are never buried.
+    """
+    names = [f"_fl_g{i}" for i in range(len(keys))]
+    kinds = [reduced.schema[c].dataType for c in _as_named(reduced, keys)]
+    graves = tombstones.select(*[F.col(f"`{k}`").cast(t).alias(n) for k, n, t in zip(keys, names, kinds)], F.col(f"`{ts}`").alias("_fl_buried"))
+    same = all_of(F.col(f"`{k}`") == F.col(n) for k, n in zip(keys, names))
+    late = ~F.col(IS_DELETE) & (F.col(f"`{ts}`") <= F.col("_fl_buried"))
+    return reduced.join(graves, same & late, "left_anti")
+
+
+def bury(reduced: DataFrame, tombstones: DataFrame | None, keys: list[str], keep: int, ts: str = "ts_ms") -> DataFrame:
+    """The tombstones after a batch: keys and ``ts`` of the deletions that stand.
+
+    The newest of a key counts; an upsert that was not buried ends it. Those older than ``keep``
+    before the newest time of the batch and of all tombstones are forgotten.
+    """
+    own = [F.col(f"`{k}`") for k in keys]
+    events = reduced.filter(none_null(keys)).select(*own, F.col(f"`{ts}`").alias(ts), IS_DELETE)
+    if tombstones is not None:
+        events = events.unionByName(tombstones.select(*own, F.col(f"`{ts}`").alias(ts), F.lit(True).alias(IS_DELETE)))
+    last = events.groupBy(*keys).agg(F.max(F.struct(F.col(ts), F.col(IS_DELETE))).alias("last"))
+    newest = events.agg(F.max(ts).alias("_fl_newest"))
+    # One row: the newest time.
+    kept = last.join(F.broadcast(newest), F.col(f"last.{ts}") >= F.col("_fl_newest") - F.lit(keep), "left_semi")
+    return kept.filter(f"last.{IS_DELETE}").select(*own, F.col(f"last.{ts}").alias(ts))
+
+
 def apply_actions(
     target: DataFrame,
     reduced: DataFrame,
@@ -204,13 +235,17 @@ def apply_changes(
     ts: str = "ts_ms",
     tie_break=None,
     guard: str | None = None,
+    tombstones: DataFrame | None = None,
 ) -> DataFrame:
     """The table after a batch: newest change per key, upserts, then deletes, in one merge.
 
     Several tied upserts on a key the table has raise MERGE_CARDINALITY_VIOLATION; on a
-    new key all are inserted. ``tie_break`` keeps one row per key instead.
+    new key all are inserted. ``tie_break`` keeps one row per key instead. ``tombstones`` (keys
+    and ``ts`` of earlier deletions, see ``bury``) keeps late upserts from undoing them.
     """
     reduced = reduce_changes(feed, keys, ts, tie_break)
+    if tombstones is not None:
+        reduced = without_buried(reduced, tombstones, keys, ts)
     tied = None if tie_break is not None else _flagged(feed, ts).filter(~F.col(IS_DELETE))
     return resolve(apply_actions(target, reduced, tied, keys, ts, guard))
 
@@ -223,16 +258,27 @@ def apply_batch(
     tie_break=None,
     guard: str | None = None,
     batch: str | None = None,
+    tombstones: int | None = None,
 ) -> int:
     """Apply a batch to a stored table and commit; creates the table if there is none.
 
     A sliced table is read and rewritten only where the batch falls.
     ``batch`` labels the commit; ``LakeTable.has_batch`` tells whether a label was committed.
+    ``tombstones``: for so many ms deletions are remembered beside the table, and upserts that are
+    no newer do not undo them; it needs ``guard``, which does the same for stored rows.
     """
+    if tombstones is not None and guard is None:
+        raise ValueError("tombstones need a guard column")
     table.recover()
     last = table.version
     version = 0 if last is None else last + 1
-    reduced = table.stage(reduce_changes(feed, keys, ts, tie_break), version)
+    reduced = reduce_changes(feed, keys, ts, tie_break)
+    graves = table.tombstones() if tombstones is not None else None
+    if graves is not None:
+        reduced = without_buried(reduced, graves, keys, ts)
+    reduced = table.stage(reduced, version)
+    if tombstones is not None:
+        table.stage(bury(reduced, graves, keys, tombstones, ts), version, "tombstones")
     tied = None
     if tie_break is None and not reduced.filter(TIED).isEmpty():
         tied = table.stage(tied_changes(feed, reduced, keys, ts), version, "ties")
@@ -244,7 +290,7 @@ def apply_batch(
     actions = apply_actions(
         target, reduced, tied, keys, ts, guard, gather_by=table.layout.file_columns(), aligned=bool(table.layout.buckets)
     )
-    return table.commit(actions, "merge", version, batch, touched)
+    return table.commit(actions, "merge", version, batch, touched, keyed=True)
 
 
 def first_load(feed: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:

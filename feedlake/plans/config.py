@@ -20,6 +20,7 @@ class TableConfig:
     staged_slices: int | str | None = None
     tie_break: list[str] | None = None
     guard: str | None = None
+    tombstones: int | None = None  # how long deletions are remembered, in ms, so that none is undone by a late change
     timestamp_cols: list[str] = field(default_factory=list)
     ref_time_column: str | None = None
     partition: str | None = None

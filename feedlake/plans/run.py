@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.functions.timecols import normalize_timestamps
 from feedlake.plans.config import TableConfig
 from feedlake.plans.table import LakeTable
-from feedlake.sources.publish import mark_published, publish, published_version
+from feedlake.sources.publish import mark_published, publish, publish_changed, published_version, same_columns
 from feedlake.streaming.stream import stream_apply
 
 log = logging.getLogger(__name__)
@@ -36,14 +36,22 @@ def publish_table(config: TableConfig, table: LakeTable, database: str) -> str:
         table.register(name)
         return status
     settings = (config.timestamp_cols, config.ref_time_column, config.partition)
-    mark = f"{table.root}#{table.version}#{hashlib.sha256(repr(settings).encode()).hexdigest()[:16]}"
-    if published_version(table.spark, name) == mark:
+    digest = hashlib.sha256(repr(settings).encode()).hexdigest()[:16]
+    mark, before = f"{table.root}#{table.version}#{digest}", published_version(table.spark, name)
+    if before == mark:
         return "unchanged"
     if table.spark.catalog.tableExists(name):
         mark_published(table.spark, name, None)
     content = normalize_timestamps(
         table.to_df(), config.timestamp_cols, config.ref_time_column, config.partition
     )
+    changed = None
+    if config.big_table and not config.partition:
+        changed = _changed_since(table, before, digest, list(config.primary_keys))
+    if changed is not None and same_columns(content, name):
+        publish_changed(content, name, list(config.primary_keys), changed)
+        mark_published(table.spark, name, mark)
+        return "replaced"
     status = publish(
         content,
         name,
@@ -55,6 +63,16 @@ def publish_table(config: TableConfig, table: LakeTable, database: str) -> str:
     return status
 
 
+def _changed_since(table: LakeTable, mark: str | None, digest: str, keys: list[str]) -> DataFrame | None:
+    """The keys changed since the version that ``mark`` names; None if that is not known."""
+    if mark is None:
+        return None
+    root, version, settings = mark.rsplit("#", 2)
+    if root != table.root or settings != digest or not version.isdigit():
+        return None
+    return table.changed_keys(int(version), keys)
+
+
 def run_tables(
     spark: SparkSession,
     configs: list[TableConfig],

@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
@@ -96,6 +97,27 @@ class LakeTable:
     ) -> LakeTable:
         """Copy an existing Parquet table to snapshot 0. ``partition_schema`` (DDL text or
         StructType) gives the types of columns kept in folder names."""
+        table = cls.at(spark, root, layout)
+        if table.version is not None:
+            raise ValueError(f"{root} already holds a table")
+        table.create(cls._existing(spark, parquet_path, partition_schema), "convert")
+        return table
+
+    @classmethod
+    def adopt(cls, spark: SparkSession, parquet_path: str, root: str, partition_schema=None) -> LakeTable:
+        """Make an existing Parquet table snapshot 0 where it lies: no file is written but the
+        commit, and none of the table is changed later, as further snapshots go to ``root``.
+        Only an unsliced, unbucketed table can hold files that others laid out."""
+        table = cls(spark, root.rstrip("/"))
+        if table.version is not None:
+            raise ValueError(f"{root} already holds a table")
+        content = cls._existing(spark, parquet_path, partition_schema)
+        record = table._record("adopt", None, {"rows_inserted": content.count()}, content.schema, location=parquet_path.rstrip("/"))
+        record.write.mode("overwrite").parquet(f"{table.root}/commits/version=0")
+        return table
+
+    @staticmethod
+    def _existing(spark: SparkSession, parquet_path: str, partition_schema=None) -> DataFrame:
         reader = spark.read
         if partition_schema is not None:
             if isinstance(partition_schema, str):
@@ -107,18 +129,16 @@ class LakeTable:
             if unknown:
                 raise ValueError(f"no partition columns {sorted(unknown)} in {parquet_path}")
             reader = reader.schema(StructType([typed.get(f.name, f) for f in kept.fields]))
-        table = cls.at(spark, root, layout)
-        if table.version is not None:
-            raise ValueError(f"{root} already holds a table")
-        table.create(reader.parquet(parquet_path), "convert")
-        return table
+        return reader.parquet(parquet_path)
 
     def register(self, name: str) -> LakeTable:
         """Point the catalog view ``name`` at the current snapshot."""
         version = self._current()
         commit = self._commit(version)
         held = ""
-        if not self.layout.slices:
+        if place := commit.asDict().get("location"):
+            relation = self._adopted_table(name, commit, place)
+        elif not self.layout.slices:
             relation = f"parquet.`{self.root}/snapshot={version}`"
         else:
             relation, held = self._slice_table(name, commit), f" where {HELD}"
@@ -129,6 +149,20 @@ class LakeTable:
         )
         return replace(self, registered=name)
 
+    def _adopted_table(self, name: str, commit: Row, place: str) -> str:
+        """A catalog table over files where they lie, partition by partition."""
+        schema, relation = _schema(commit), f"{name}__adopted"
+        one = self.spark.read.schema(schema).parquet(place).select(F.input_file_name()).first()
+        stored = {c.lower() for c in self.spark.read.parquet(one[0]).columns} if one else {c.lower() for c in schema.names}
+        folders = [f.name for f in schema.fields if f.name.lower() not in stored]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f" partitioned by ({', '.join(f'`{c}`' for c in folders)})" if folders else ""
+        self.spark.sql(f"drop table if exists {relation}")  # an external table: its files stay
+        self.spark.sql(f"create table {relation} ({columns}) using parquet{by} location '{place}'")
+        if folders:
+            self.spark.sql(f"msck repair table {relation}")
+        return relation
+
     def _slice_table(self, name: str, commit: Row) -> str:
         """The catalog table over the partitions, made known to it by Spark."""
         sql = self.spark.sql
@@ -173,9 +207,11 @@ class LakeTable:
             name = self._bucketed_name(version)
             if self.spark.catalog.tableExists(name):
                 return self.spark.table(name)
-        schema = _schema(self._commit(version))
+        commit = self._commit(version)
+        schema = _schema(commit)
         if not self.layout.slices:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/snapshot={version}")
+            place = commit.asDict().get("location") or f"{self.root}/snapshot={version}"
+            return self.spark.read.schema(schema).parquet(place)
         if version != self.version:
             raise ValueError(f"{self.root}: a sliced table keeps its current rows only")
         return self._slices(schema).select(*[F.col(f"`{c}`") for c in schema.names])
@@ -204,10 +240,29 @@ class LakeTable:
     def to_df(self) -> DataFrame:
         return self.snapshot(self._current())
 
+    def changed_keys(self, since: int, keys: list[str]) -> DataFrame | None:
+        """The keys that batches have changed after the commit ``since``, from what they staged;
+        None if another commit came in between, whose keys are not known."""
+        newer = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/commits").filter(F.col("version") > since)
+        if "keyed" not in newer.columns:
+            return None
+        versions, known = newer.agg(F.array_sort(F.collect_list("version")), F.every(F.coalesce("keyed", F.lit(False)))).first()
+        if not versions or not known:
+            return None
+        staged = (self.spark.read.parquet(f"{self.root}/changes/version={v}") for v in versions)
+        return reduce(DataFrame.union, (df.select(*[F.col(f"`{k}`") for k in keys]) for df in staged))
+
+    def tombstones(self) -> DataFrame | None:
+        """Keys that batches have deleted, with the time of the deletion, as of the current commit."""
+        current = self.version
+        version = None if current is None else newest_folder(self.spark, f"{self.root}/tombstones", "version", current)
+        return None if version is None else self.spark.read.parquet(f"{self.root}/tombstones/version={version}")
+
     def history(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first."""
         self._current()
-        commits = self.spark.read.parquet(f"{self.root}/commits").drop("replaces", "schema", "layout").orderBy(F.desc("version"))
+        commits = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/commits")
+        commits = commits.drop("replaces", "keyed", "schema", "layout", "location").orderBy(F.desc("version"))
         return commits if limit is None else commits.limit(limit)
 
     def show_history(self, rows: int = 20) -> None:
@@ -250,6 +305,7 @@ class LakeTable:
         touched: DataFrame | None = None,
         replaces: bool = False,
         aligned: bool = False,
+        keyed: bool = False,
     ) -> int:
         """Write the outcome of ``actions`` as the next snapshot and record it.
 
@@ -258,7 +314,7 @@ class LakeTable:
         then has all rows; without it they are those with a change, found first. If ``actions``
         ``replaces`` the table, as it must if it changes the keys of stored rows, all are written.
         Its rows are brought together by slice first, unless they are ``aligned``: lie as they
-        were stored.
+        were stored. ``keyed``: the staged batch of this version has the keys of all changes.
         """
         if version is None:
             current = self.version
@@ -277,16 +333,7 @@ class LakeTable:
                 actions = gather(actions, self.layout.file_columns())
         seen = Observation()
         self._write(resolve(actions.observe(seen, *metric_columns())), version, touched)
-        counts = seen.get
-        record = self.spark.range(1, numPartitions=1).select(
-            F.lit(operation).alias("operation"),
-            F.lit(batch).cast("string").alias("batch"),
-            *[F.lit(int(counts[m] or 0)).cast("long").alias(m) for m in METRICS],
-            F.current_timestamp().alias("committed_at"),
-            F.lit(schema.json()).alias("schema"),
-            F.lit(self.layout.to_json()).alias("layout"),
-            F.lit(replaces).alias("replaces"),
-        )
+        record = self._record(operation, batch, seen.get, schema, replaces, keyed)
         if self.layout.slices:
             record.write.mode("overwrite").parquet(f"{self.root}/intents/version={version}")
             self._overwrite(version)
@@ -296,6 +343,23 @@ class LakeTable:
             self.register(self.registered)
         return version
 
+    def _record(
+        self, operation: str, batch: str | None, counts: dict, schema: StructType,
+        replaces: bool = False, keyed: bool = False, location: str | None = None,
+    ) -> DataFrame:
+        """The one row about a commit."""
+        return self.spark.range(1, numPartitions=1).select(
+            F.lit(operation).alias("operation"),
+            F.lit(batch).cast("string").alias("batch"),
+            *[F.lit(int(counts.get(m) or 0)).cast("long").alias(m) for m in METRICS],
+            F.current_timestamp().alias("committed_at"),
+            F.lit(schema.json()).alias("schema"),
+            F.lit(self.layout.to_json()).alias("layout"),
+            F.lit(replaces).alias("replaces"),
+            F.lit(keyed).alias("keyed"),
+            F.lit(location).cast("string").alias("location"),
+        )
+
     def _write(self, content: DataFrame, version: int, touched: DataFrame | None) -> None:
         path = f"{self.root}/snapshot={version}"
         if self.layout.buckets:

@@ -52,7 +52,7 @@ def publish(
     if replace:
         columns = spark.table(table).columns
         _require_same_columns(df, columns, table)
-        with _static_overwrite(spark):
+        with _overwrite_mode(spark, "static"):
             df.select(*columns).write.insertInto(table, overwrite=True)
         return "replaced"
     writer = df.write
@@ -65,15 +65,40 @@ def publish(
     return "created"
 
 
+def publish_changed(df: DataFrame, table: str, keys: list[str], changed: DataFrame) -> int:
+    """Rewrite only the hash buckets of ``table`` that hold a key of ``changed``; returns how many.
+
+    ``df`` is the whole new content; its rows in other buckets are left where they are. Buckets
+    that lose all their rows are dropped. The list of buckets is bounded by their number.
+    """
+    spark = df.sparkSession
+    count = _bucket_count(table, spark)
+    if count is None:
+        raise ValueError(f"{table} is not partitioned by a hash bucket")
+    _require_same_columns(df.withColumn(BUCKET, F.lit(0)), spark.table(table).columns, table)
+    kinds = df.select(*keys).schema.fields
+    typed = changed.select(*[F.col(f"`{k}`").cast(f.dataType).alias(k) for k, f in zip(keys, kinds, strict=True)])
+    touched = {r[0] for r in with_bucket(typed, keys, count).select(BUCKET).distinct().take(count)}
+    if not touched:
+        return 0
+    content = with_bucket(df, keys, count).filter(F.col(BUCKET).isin(sorted(touched)))
+    with _overwrite_mode(spark, "dynamic"):
+        gather(content, [F.col(BUCKET)]).select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    emptied = touched - {r[0] for r in content.select(BUCKET).distinct().take(count)}
+    if emptied:
+        spark.sql(f"alter table {table} drop if exists " + ", ".join(f"partition ({BUCKET}={b})" for b in sorted(emptied)))
+    return len(touched)
+
+
 _BUCKETS_OPTION = "feedlake.buckets"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @contextmanager
-def _static_overwrite(spark: SparkSession):
-    """Replace all partitions: in dynamic mode those without new rows would keep old ones."""
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """``static`` replaces all partitions, ``dynamic`` those that get rows."""
     before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "static")
+    spark.conf.set(_OVERWRITE_MODE, mode)
     try:
         yield
     finally:
@@ -110,6 +135,14 @@ def mark_published(spark: SparkSession, table: str, version: str | None) -> None
         spark.sql(f"alter table {table} set tblproperties ('{_PUBLISHED}' = '{version}')")
 
 
+def same_columns(df: DataFrame, table: str) -> bool:
+    """Whether ``table``, hashed into buckets, has just the columns of ``df`` besides, of the same types."""
+    kinds = {c.lower(): kind for c, kind in df.dtypes}
+    spark = df.sparkSession
+    own = {c.lower(): kind for c, kind in spark.table(table).dtypes if c != BUCKET}
+    return own == kinds and _bucket_count(table, spark) is not None
+
+
 def _require_same_columns(df: DataFrame, columns: list[str], table: str) -> None:
     have, want = {c.lower() for c in df.columns}, {c.lower() for c in columns}
     if have != want:

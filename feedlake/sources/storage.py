@@ -24,14 +24,14 @@ def set_aside(spark: SparkSession, path: str, other: str) -> None:
         raise OSError(f"cannot rename {path} to {other}")
 
 
-def newest_folder(spark: SparkSession, root: str, name: str) -> int | None:
-    """Highest n whose folder ``<root>/<name>=<n>`` is finished, None if there is none."""
+def newest_folder(spark: SparkSession, root: str, name: str, most: int | None = None) -> int | None:
+    """Highest n, ``most`` at most, whose folder ``<root>/<name>=<n>`` is finished, None if there is none."""
     fs, p = _path(spark, root)
     if not fs.exists(p):
         return None
     found = (re.fullmatch(rf"{name}=(\d+)", s.getPath().getName()) for s in fs.listStatus(p))
     for number in sorted((int(m[1]) for m in found if m), reverse=True):
-        if exists(spark, f"{root}/{name}={number}/_SUCCESS"):
+        if (most is None or number <= most) and exists(spark, f"{root}/{name}={number}/_SUCCESS"):
             return number
     return None
 

@@ -83,6 +83,7 @@ def stream_apply(
             list(config.primary_keys),
             tie_break=config.tie_break,
             guard=config.guard,
+            tombstones=config.tombstones,
             batch=label,
         )
 

@@ -201,3 +201,63 @@ def test_keys_in_another_case(spark):
     stored = spark.createDataFrame([(1, "a", 1)], "k int, v string, ts_ms long")
     feed = spark.createDataFrame([(1, "b", "u", 2), (2, "c", "c", 2)], "k int, v string, op string, ts_ms long")
     assert rows(apply_changes(stored, feed, ["K"])) == [(1, "b", 2), (2, "c", 2)]
+
+
+def test_tombstones(spark, tmp_path):
+    from feedlake.plans.apply import apply_batch, bury, reduce_changes
+    from feedlake.plans.table import LakeTable
+
+    table = LakeTable.at(spark, str(tmp_path / "t"))
+
+    def batch(*data):
+        apply_batch(table, spark.createDataFrame(list(data), FEED), ["k"], guard="ts_ms", tombstones=100)
+
+    with pytest.raises(ValueError, match="guard"):
+        apply_batch(table, ties(spark), ["k"], tombstones=100)
+    batch((1, "a", "c", 10), (2, "b", "c", 10), (None, "n", "c", 10))
+    batch((1, "", "d", 50), (3, "", "d", 60), (None, "", "d", 70))
+    assert rows(table.tombstones()) == [(1, 50), (3, 60)]  # also of a key that was never stored
+    batch((1, "late", "u", 49), (1, "later", "u", 50), (3, "new", "u", 61), (None, "m", "u", 1))
+    assert rows(table.to_df()) == [(None, "m", 1), (None, "n", 10), (2, "b", 10), (3, "new", 61)]
+    assert rows(table.tombstones()) == [(1, 50)]
+    batch((2, "", "d", 150))
+    assert rows(table.tombstones()) == [(1, 50), (2, 150)]
+    batch((4, "d", "c", 151))  # key 1 was deleted more than 100 ms before
+    batch((1, "back", "u", 20))
+    assert rows(table.to_df().filter("k = 1"), "v") == [("back",)]
+    # Tied rows are buried together, and a tie with a delete buries them at once.
+    batch((5, "x", "d", 160), (5, "y", "u", 160))
+    batch((5, "x", "u", 160), (5, "y", "u", 160))
+    assert table.to_df().filter("k = 5").count() == 0
+    batch((5, "x", "u", 161), (5, "y", "u", 161))
+    assert table.to_df().filter("k = 5").count() == 2
+    assert rows(bury(reduce_changes(ties(spark), ["k"]), None, ["k"], 100)) == [(1, 5), (4, 9), (6, 4)]
+    graves = spark.createDataFrame([(2, 8)], "k int, ts_ms long")
+    assert rows(apply_changes(ties_target(spark), ties(spark), ["k"], tombstones=graves)) == [
+        (None, "g", 3), (2, "B", 0), (3, "C", 0), (5, "i", 1)]
+
+
+def test_equal_snapshots_move_no_rows(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id as k", "if(id % 3 = 0, null, id) as a", "if(id % 3 = 0, id, null) as b", "named_struct('x', id) as s", "array(id) as l")
+    for name in ("old", "new"):
+        df.write.parquet(f"{tmp_path}/{name}")
+    old, new = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+    diff = snapshot_diff(old, new, ["k"], 1)
+    assert diff.count() == 0
+    changed = new.withColumn("a", F.when(F.col("k") == 9, 1).otherwise(F.col("a"))).withColumn("b", F.when(F.col("k") == 9, None).otherwise(F.col("b")))
+    assert rows(snapshot_diff(old, changed, ["k"], 1), "op", "before.k") == [("u", 9)]
+    swapped = new.select("k", F.col("b").alias("a"), F.col("a").alias("b"), "s", "l")  # the same values, nulls elsewhere
+    assert snapshot_diff(old, swapped, ["k"], 1).count() == 5000
+    from feedlake.operators.diff import changed_groups
+
+    assert changed_groups(old, new, ["k"]).isEmpty()
+    assert changed_groups(old, changed, ["k"]).count() == 1
+
+
+def test_diff_reads_only_changed_groups(spark, tmp_path):
+    df = spark.range(20000).selectExpr("id as k", "cast(id as string) as v")
+    df.write.parquet(f"{tmp_path}/old")
+    df.withColumn("v", F.when(F.col("k") % 5000 == 0, "x").otherwise(F.col("v"))).write.parquet(f"{tmp_path}/new")
+    old, new = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+    whole, cut = snapshot_diff(old, new, ["k"], 1, groups=0), snapshot_diff(old, new, ["k"], 1)
+    assert rows(whole, "op", "before.k") == rows(cut, "op", "before.k") == [("u", k) for k in (0, 5000, 10000, 15000)]

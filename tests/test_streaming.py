@@ -226,3 +226,56 @@ def test_json_feed(spark, lake):
 def test_view_refuses_settings_it_would_ignore():
     with pytest.raises(ValueError, match="partition"):
         replace(ITEMS, publish_view=True, partition="day")
+
+
+def test_publishing_rewrites_only_changed_buckets(spark, lake, database):
+    config = replace(ITEMS, big_table=True, publish_buckets=16)
+
+    def publish_all():
+        return run_tables(spark, [config], lake["raw"], lake["staged"], lake["checkpoints"], database)[0]
+
+    def files():
+        return set(spark.table(f"{database}.shop_public_items").inputFiles())
+
+    def current():
+        return rows(spark.table(f"{database}.shop_public_items"), "k", "v")
+
+    land(spark, lake, [(k, f"v{k}", "r", 0) for k in range(200)], config)
+    assert publish_all().status == "created"
+    first = files()
+    land(spark, lake, [(3, "new", "u", 1), (500, "added", "c", 1), (7, "", "d", 1)], config)
+    assert publish_all().status == "replaced"
+    second = files()
+    want = {k: f"v{k}" for k in range(200)} | {3: "new", 500: "added"}
+    del want[7]
+    assert current() == sorted(want.items())
+    assert 13 <= len(first & second) < 16  # three keys lie in three buckets at most
+    # All rows of a bucket go.
+    bucket = spark.table(f"{database}.shop_public_items").filter("k = 3").first()["bucket"]
+    gone = [r[0] for r in rows(spark.table(f"{database}.shop_public_items").filter(f"bucket = {bucket}"), "k")]
+    land(spark, lake, [(k, "", "d", 2) for k in gone], config)
+    publish_all()
+    assert current() == sorted((k, v) for k, v in want.items() if k not in gone)
+    assert second - files() and not files() - second
+    # A commit whose keys were not kept is published as a whole.
+    table = LakeTable.for_path(spark, config.path(lake["staged"]))
+    table.update("k = 500", {"v": "'again'"})
+    publish_all()
+    assert not files() & second and (500, "again") in current()
+
+
+def test_job_of_one_table_under_other_names(spark, lake, tmp_path):
+    import json
+
+    from feedlake.job import run_job
+
+    land(spark, lake, [(1, "a", "c", 1)])
+    name = f"curated_{tmp_path.name}".replace("-", "_")
+    job = {"processing_prefix_path": lake["raw"], "staged_prefix_path": lake["staged"], "curated_path": str(tmp_path / "curated"),
+           "glue_database": name, "topic_name": "shop.public.items", "primary_keys": ["k"], "big_table": "True",
+           "timestamp_cols": None, "ref_time_column": None, "partition": None}
+    assert run_job(spark, json.dumps(job))[0].status == "created"
+    assert rows(spark.table(f"{name}.shop_public_items"), "k", "v") == [(1, "a")]
+    assert (tmp_path / "curated" / "shop_public_items").exists()
+    with pytest.raises(ValueError, match="two names"):
+        run_job(spark, json.dumps(job | {"raw": "x"}))

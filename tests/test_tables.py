@@ -96,6 +96,30 @@ def test_convert(spark, tmp_path):
         LakeTable.convert(spark, old, str(tmp_path / "other"), "nope string")
 
 
+def test_adopted_where_it_lies(spark, tmp_path, database):
+    old = str(tmp_path / "old")
+    spark.createDataFrame([(1, "a", 7), (2, "b", 8)], "k int, v string, day int").write.partitionBy("day").parquet(old)
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "old").rglob("*.parquet")}
+    table = LakeTable.adopt(spark, old, str(tmp_path / "new"), "day string")
+    assert rows(LakeTable.for_path(spark, table.root).to_df()) == [(1, "a", "7"), (2, "b", "8")]
+    assert not (tmp_path / "new" / "snapshot=0").exists()
+    table = table.register(f"{database}.t")
+    assert rows(spark.table(f"{database}.t")) == [(1, "a", "7"), (2, "b", "8")]
+    assert len(spark.sql(f"show partitions {database}.t__adopted").collect()) == 2
+    source = spark.createDataFrame([(2, "x", "9"), (3, "c", "9")], "k int, v string, day string").alias("s")
+    table.merge(source, "t.k = s.k").when_matched_update_all().when_not_matched_insert_all().execute()
+    assert rows(spark.table(f"{database}.t")) == [(1, "a", "7"), (2, "x", "9"), (3, "c", "9")]
+    assert rows(table.history(), "version", "operation", "rows_inserted") == [(0, "adopt", 2), (1, "merge", 1)]
+    assert rows(table.snapshot(0)) == [(1, "a", "7"), (2, "b", "8")]
+    assert {str(f): f.stat().st_mtime_ns for f in (tmp_path / "old").rglob("*.parquet")} == before
+    with pytest.raises(ValueError):
+        LakeTable.adopt(spark, old, table.root)
+    plain = str(tmp_path / "plain")
+    spark.range(3).write.parquet(plain)
+    assert LakeTable.adopt(spark, plain, str(tmp_path / "p")).register(f"{database}.p").to_df().count() == 3
+    assert spark.table(f"{database}.p").count() == 3
+
+
 def test_bucketed_table_is_merged_and_compared_without_moving_it(spark, tmp_path, database):
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").selectExpr(
         "o_orderkey as k", "o_orderstatus as st", "1L as ts_ms")
