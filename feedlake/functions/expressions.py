@@ -63,5 +63,9 @@ def gather(rows: DataFrame, by) -> DataFrame:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark, by its own estimate and threshold, would broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+    return plan_size(df) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def plan_size(df: DataFrame) -> int:
+    """Spark's estimate of the bytes of ``df``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

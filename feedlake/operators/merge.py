@@ -7,6 +7,9 @@ A merge is planned as up to two joins, each only if a clause needs it:
 * rows to insert: source LEFT ANTI the keys the table already has, which, for a source that
   Spark may broadcast, are first cut down to keys the source touches.
 
+A table much larger than a source that is too large to be broadcast is first cut down to the
+rows that may match (see ``pruning``); the others go past the joins.
+
 A predicate is taken apart (see ``predicates``): one that only says which keys are equal, by
 whatever names, is a merge by keys; one that says more is checked on pairs joined by its
 equalities, or by bins of a range.
@@ -38,6 +41,7 @@ from feedlake.functions.expressions import (
 )
 from feedlake.operators.latest import first_per_key
 from feedlake.operators.predicates import BIN, Match, analyse, with_bins
+from feedlake.operators.pruning import bitmap, prunes, split
 from feedlake.operators.rowchanges import (
     ACTION,
     DELETED,
@@ -173,6 +177,10 @@ class MergeBuilder:
         target, keys = self._target(self.target), self.match.target_keys
         complete = all_of(k.isNotNull() for k in keys)
         on = all_of(k == F.col(n) for k, n in zip(keys, names, strict=True))
+        apart = None
+        if prunes(target, keys, source, [F.col(n) for n in names]):
+            some, apart = split(target, keys, bitmap(source, [F.col(n) for n in names]))
+            target = self._target(some)
         joined = target.filter(complete).join(reduced, on, "left_outer")
         if not self._only_plain_delete and not self.unique_source:
             violation = F.col(_HIT).isNotNull() & F.col(_DUP) & is_true(self.ambiguous_if)
@@ -182,6 +190,8 @@ class MergeBuilder:
                 violation &= reduce(or_, fires)
             joined = joined.filter(self._no_error(violation))
         decided = self._apply_matched(joined, F.col(_HIT).isNotNull())
+        if apart is not None:
+            return decided.unionByName(self._kept(apart))
         if not any(f.nullable for f in target.select(*keys).schema.fields):
             return decided
         return decided.unionByName(self._kept(target.filter(~complete)))
@@ -280,7 +290,10 @@ class MergeBuilder:
         candidates, keys = self._keyed_source(candidates)
         names = [f"_fl_t{i}" for i in range(len(keys))]
         own = self.match.target_keys
-        stored = self._target(self.target).filter(all_of(k.isNotNull() for k in own))
+        stored, asking = self._target(self.target), [F.col(k) for k in keys]
+        if prunes(stored, own, candidates, asking):
+            stored = self._target(split(stored, own, bitmap(candidates, asking))[0])
+        stored = stored.filter(all_of(k.isNotNull() for k in own))
         stored = stored.select(*[k.alias(n) for k, n in zip(own, names, strict=True)])
         if not fits_broadcast(candidates):
             # Source rows with a null key are equal to nothing, and stay.

@@ -17,6 +17,7 @@ from feedlake.operators.flatten import (
 )
 from feedlake.operators.latest import first_per_key, latest_per_key, same_group, settle
 from feedlake.operators.merge import CARDINALITY_ERROR, MergeBuilder, merge
+from feedlake.operators.pruning import bitmap, prunes, split
 from feedlake.operators.rowchanges import ACTION, DELETED, INSERTED, KEPT, UPDATED, resolve
 from feedlake.plans.table import LakeTable
 
@@ -137,6 +138,8 @@ def apply_actions(
     # without a complete key spread by a number that no change has.
     packed = kinds[0] == kinds[1] and not aligned
 
+    plain = [F.col(f"`{k}`") for k in keys]
+
     def key_of(apart: Column) -> list[Column]:
         columns = [F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]
         return [F.struct(*columns, F.when(any_null(keys), apart).otherwise(0).alias("apart")).alias(_KEY)] if packed else columns
@@ -147,7 +150,10 @@ def apply_actions(
     more = [F.col(f"`{guard}`").alias(_GUARD)] if guard is not None and guard != ts else []
     batch = reduced.select(*key_of(F.lit(-1).cast("long")), row, IS_DELETE, TIED, F.col(f"`{ts}`").alias(_TIME), *more)
 
-    stored = target if packed else target.filter(none_null(keys))
+    apart, near = None, target
+    if not aligned and kinds[0] == kinds[1] and prunes(target, plain, reduced, plain):
+        near, apart = split(target, plain, bitmap(reduced, plain))
+    stored = near if packed else near.filter(none_null(keys))
     here = [f"_fl_t{i}" for i in range(len(held))]
     hashed = [F.col(f"`{c}`") for c, kind in target.dtypes if "map<" not in kind and "variant" not in kind]
     own = [c.alias(n) for c, n in zip(key_of(F.shiftrightunsigned(F.xxhash64(*hashed), 1) + 1), here)]
@@ -166,10 +172,12 @@ def apply_actions(
         return F.when(F.col(ACTION) == UPDATED, new).otherwise(old).alias(field.name)
 
     out = settled.select(*[updated(f) for f in target.schema.fields], ACTION)
-    if not packed and any(f.nullable for f in target.select(*[f"`{k}`" for k in keys]).schema.fields):
+    if apart is not None:
+        out = out.unionByName(apart.withColumn(ACTION, F.lit(KEPT)))
+    elif not packed and any(f.nullable for f in target.select(*[f"`{k}`" for k in keys]).schema.fields):
         out = out.unionByName(target.filter(any_null(keys)).withColumn(ACTION, F.lit(KEPT)))
 
-    known = target.filter(none_null(keys)).select(*[c.alias(n) for c, n in zip(key_of(F.lit(0).cast("long")), here)])
+    known = near.filter(none_null(keys)).select(*[c.alias(n) for c, n in zip(key_of(F.lit(0).cast("long")), here)])
     if fits_broadcast(batch):
         # Found without moving the table: the keys that it shares with the batch.
         asked = batch.select(*held).distinct()

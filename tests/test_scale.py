@@ -142,6 +142,39 @@ def test_an_upsert_is_two_joins(spark, stored, shuffled):
         assert exchanges <= 5 and joins == 2 and scans[0] <= 3  # one for rows without a key
 
 
+def test_a_batch_of_few_keys_moves_few_rows(spark, tmp_path, small_partitions, monkeypatch):
+    """One key in a hundred changes: the plan joins about that share of the table, and no more."""
+    from feedlake.operators import pruning
+
+    spark.range(0, 100_000).selectExpr("if(id % 1000 = 7, null, id) as k", "sha2(cast(id as string), 256) as v", "1L as ts_ms").write.parquet(f"{tmp_path}/t")
+    spark.range(0, 1000).selectExpr("id * 100 as k", "'new' as v", "if(id % 2 = 0, 'd', 'u') as op", "2L as ts_ms").write.parquet(f"{tmp_path}/s")
+    target, feed = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    source = feed.drop("op").alias("s")
+    keys = [F.col("k")]
+    assert pruning.prunes(target, keys, source, keys)
+    some, rest = pruning.split(target, keys, pruning.bitmap(source, keys))
+    assert 990 <= some.count() <= 1200 and some.count() + rest.count() == 100_000
+
+    def results():
+        return [
+            sorted(map(str, df.collect()))
+            for df in (
+                merge(target, source, ["k"]).when_matched_delete().to_df(),
+                merge(target, source, "t.k = s.k").when_matched_update_all().when_not_matched_insert_all().to_df(),
+                merge(target, source.filter("k % 200 = 0").alias("s"), ["k"]).when_matched_delete("s.v = 'new'").to_df(),
+                apply_changes(target, feed, ["k"]),
+                apply_changes(target, feed, ["k"], tie_break=["v"], guard="ts_ms"),
+            )
+        ]
+
+    pruned = results()
+    text = plan(merge(target, source, ["k"]).when_matched_delete().to_df())
+    assert "_fl_bitmap" in text and "BroadcastHashJoin" in text
+    monkeypatch.setattr(pruning, "TIMES", 10**9)
+    assert "_fl_bitmap" not in plan(merge(target, source, ["k"]).when_matched_delete().to_df())
+    assert results() == pruned
+
+
 def test_library_collects_no_data_and_runs_no_python_on_rows():
     """Driver reads are single-row metadata; no user-defined functions, no RDDs."""
     banned = re.compile(r"toPandas|\.rdd\b|udf|applyInPandas|mapInPandas|toLocalIterator|crossJoin|localCheckpoint")
