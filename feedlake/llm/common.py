@@ -28,6 +28,14 @@ def narrow(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(c) for c in columns))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _summary(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 

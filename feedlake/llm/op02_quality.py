@@ -177,11 +177,11 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 20_0
     return fit(text, feature, 1.0, grade, grades)
 
 
-def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
-    """All columns of ``docs``, and ``_tails``: P(grade >= k) for k from 1, as an array."""
+def grade(docs: DataFrame, model: Ordinal, name: str = "_tails") -> DataFrame:
+    """All columns of ``docs``, and ``name``: P(grade >= k) for k from 1, as an array."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast((model.weights, model.thresholds))
-    schema = T.StructType([*docs.schema.fields, T.StructField("_tails", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
     where = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,7 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
                 tails.append(own.tails(score))
             flat = np.concatenate(tails) if tails else np.zeros((0, len(own.thresholds)))
             lists = pa.ListArray.from_arrays(np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32), flat.ravel())
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "_tails"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

@@ -9,6 +9,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from feedlake.llm import op02_quality
 from feedlake.llm.common import stage
 from frames import TESTDATA
@@ -90,3 +91,15 @@ def test_edges(spark):
     for _, step in corpus_pipeline.STAGES[1:]:
         assert step(spark, odd, SF).count() <= 4
     assert corpus_pipeline.near_duplicates(spark, odd, SF).where("doc_id = 1").count() == 1
+
+
+def test_columns_that_clash(spark):
+    names = ("d", "h", "_d", "_h", "_n", "_tails", "_gone", "grade", "pick")
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    wide = docs.select("*", *(F.lit(c).alias(c) for c in names))
+    for _, step in corpus_pipeline.STAGES[:4]:
+        plain = step(spark, docs, f"{TESTDATA}/sf0.001").select("doc_id", "text")
+        out = step(spark, wide, f"{TESTDATA}/sf0.001")
+        assert out.columns == wide.columns
+        assert sorted(map(tuple, out.select("doc_id", "text").collect())) == sorted(map(tuple, plain.collect()))
+        assert out.select(*names).distinct().count() == 1
