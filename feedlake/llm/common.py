@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,23 @@ def narrow(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(c) for c in columns))
 
 
+_kept: list[Callable[[], None]] = []
+
+
+def keeps(clear: Callable[[], None]) -> None:
+    """Says how to let go of what an operator keeps in a Python worker between its tasks."""
+    _kept.append(clear)
+
+
+def release() -> None:
+    """For a task of another operator: lets go of all that, and gives the memory back."""
+    for clear in _kept:
+        clear()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if _kept and trim is not None:
+        trim(0)
+
+
 def free(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no column of that name."""
     taken = {c.lower() for c in df.columns}

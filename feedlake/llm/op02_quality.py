@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from feedlake.llm.common import release
 from feedlake.llm.words import PLAIN, PLAIN_WORD, Chunk, chunks, mix, words
 
 BITS = 20
@@ -159,6 +160,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 20_0
     rated = rated.withColumn("h", F.xxhash64("text")).dropDuplicates(["pick", "h"]).select("grade", "text").limit(max_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 text, feature = features(chunk)
@@ -185,6 +187,7 @@ def grade(docs: DataFrame, model: Ordinal, name: str = "_tails") -> DataFrame:
     where = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         own = Ordinal(*held.value)
         for batch in batches:
             tails = []

@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import narrow
+from feedlake.llm.common import keeps, narrow
 
 #: Stretches of text, and of ids, that a Python worker remembers before it starts anew.
 CACHE_ENTRIES = 600_000
@@ -267,6 +267,9 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
+keeps(codec.cache_clear)
+
+
 def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     at, first = np.concatenate([[0], np.cumsum(sizes)]), 0
     while first < len(sizes):
