@@ -13,6 +13,7 @@ from feedlake.checks.registry import (
     line_feed,
     order_source,
     order_target,
+    read,
 )
 from feedlake.operators.merge import merge
 from feedlake.plans.apply import apply_changes
@@ -60,6 +61,50 @@ def _merge_theta(spark, sf_dir):
     return _both(spark, sf_dir, condition).when_matched_update_all().when_not_matched_insert_all().to_df()
 
 
+@check(
+    "merge_unequal_keys",
+    f"""{_WITH} select t.k, coalesce(s.st, t.st) as st, coalesce(s.price, t.price) as price, t.ts_ms
+        from t left join s on t.k = s.k and s.cust % 2 = 0
+        union all select k, st, price, null from s where not (cust % 2 = 0 and k in (select k from t))""",
+)
+def _merge_unequal_keys(spark, sf_dir):
+    """Keys of other names and types on the two sides, and a condition on one side."""
+    target, source = _sides(spark, sf_dir)
+    named = source.select(F.col("k").cast("decimal(20,0)").alias("order_no"), "st", "price", "cust").alias("s")
+    return (
+        merge(target, named, "s.order_no = t.k and s.cust % 2 = 0")
+        .when_matched_update(set={"st": "s.st", "price": "s.price"})
+        .when_not_matched_insert(values={"k": "s.order_no", "st": "s.st", "price": "s.price"})
+        .to_df()
+    )
+
+
+# Price bands that do not overlap, one a part; the last is open upwards.
+_BANDS = """
+select p_partkey as band, p_brand as name, p_partkey * 150.0 as lo,
+       case when p_partkey = {last} then 1e15 else p_partkey * 150.0 + 100 end as hi from {parts}"""
+
+
+@check(
+    "merge_band",
+    f"""with t as ({ORDER_TARGET}), s as ({_BANDS.format(last="(select max(p_partkey) from part)", parts="part")})
+        select t.k, coalesce(s.name, t.st) as st, t.price, t.ts_ms from t left join s on t.price >= s.lo and t.price < s.hi
+        union all select -band, name, lo, null from s
+        where not exists (select 1 from t where t.price >= s.lo and t.price < s.hi)""",
+)
+def _merge_band(spark, sf_dir):
+    """Joined by a range alone; one band is open."""
+    parts = read(spark, sf_dir, "part")
+    last = parts.agg(F.max("p_partkey")).first()[0]
+    bands = spark.sql(_BANDS.format(last=last, parts="{parts}"), parts=parts).alias("s")
+    return (
+        merge(order_target(spark, sf_dir), bands, "t.price >= s.lo and t.price < s.hi")
+        .when_matched_update(set={"st": "s.name"})
+        .when_not_matched_insert(values={"k": "-s.band", "st": "s.name", "price": "s.lo"})
+        .to_df()
+    )
+
+
 @check(
     "merge_update_set",
     f"""{_WITH} select t.k, case when s.k is null then t.st else 'X' end as st,
