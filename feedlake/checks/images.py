@@ -87,10 +87,11 @@ def _bounded_file_sink(spark, sf_dir):
     per_file = (
         read_feed(spark, path, ORDER_ROW)
         .groupBy(F.input_file_name().alias("file"))
-        .agg(F.count("*").alias("n"), F.sum("ts_ms").alias("ts"))
+        .agg(F.count("*").alias("n"), F.sum(F.col("ts_ms").cast("decimal(20,0)")).alias("ts"))
     )
     return per_file.agg(
         F.sum("n").alias("n_rows"),
+        # Milliseconds of some ten million rows exceed a long.
         F.sum("ts").alias("sum_ts_ms"),
         F.count_if(F.col("n") > ROWS_PER_FILE).alias("files_over_cap"),
     )

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from conftest import plan, rows
+from feedlake import checks
 from feedlake.functions.expressions import as_assignments, as_condition
 from feedlake.functions.topics import catalog_name, table_alias, topic_path
 from feedlake.operators.flatten import after_images, before_images, deletes, flatten, to_envelope, upserts
@@ -98,6 +99,14 @@ def test_raw_files_are_bounded(spark, tmp_path):
         write_raw(spark.range(1), path, rows_per_file=0)
 
 
+def test_bounded_file_sink_sums_beyond_a_long(spark, tmp_path):
+    orders = spark.range(2500).selectExpr(
+        "id as o_orderkey", "'F' as o_orderstatus", "1.5D as o_totalprice", "timestamp_millis(9000000000000000) as o_orderdate", "'1-URGENT' as o_orderpriority"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    assert rows(checks.queries()["bounded_file_sink"](spark, str(tmp_path)), "n_rows", "sum_ts_ms", "files_over_cap") == [(2500, 2500 * 9 * 10**15, 0)]
+
+
 def test_topic_names():
     assert topic_path("raw/", "shop.public.items") == "raw/public/shop.public.items"
     assert table_alias("shop.public.items") == "items"
