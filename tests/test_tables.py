@@ -278,6 +278,22 @@ def test_sliced_batch_makes_few_files(spark, tmp_path, threshold):
     assert table.to_df().count() == 20000 + len(range(20006, 30000, 7))
 
 
+def test_sliced_table_writes_each_slice_once_a_commit(spark, tmp_path):
+    """No second file for the mark of a slice, and no second copy of a first load."""
+    table = LakeTable.at(spark, str(tmp_path / "t"), Layout(("k",), slices="k div 10"))
+    leftover = spark.createDataFrame([(99, "junk", 0, True, 9)], f"{ROW}, fl_held boolean, fl_slice long")
+    leftover.write.partitionBy(SLICE).parquet(f"{table.root}/data")  # of a writer that died before its first commit
+    apply_batch(table, spark.range(90).selectExpr("cast(id as int) as k", "'a' as v", "'c' as op", "1L as ts_ms"), ["k"])
+    assert table.to_df().count() == 90 and table.to_df().filter("v = 'junk'").count() == 0
+    assert not (tmp_path / "t" / "pending").exists()
+    changes = spark.range(0, 90, 5).selectExpr("cast(id as int) as k", "'b' as v", "'u' as op", "2L as ts_ms")
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    apply_batch(table, changes, ["k"])
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert len(spark.read.parquet(f"{table.root}/pending/version=1").inputFiles()) == 9
+    assert table.to_df().count() == 90 and table.to_df().filter("v = 'b'").count() == 18
+
+
 def _exchanges_over(text, leaf):
     """Exchanges on the way from the plan's root to any scan of ``leaf``."""
     path, found = [], 0
