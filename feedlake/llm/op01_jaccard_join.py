@@ -139,14 +139,15 @@ def candidate_groups(classes: DataFrame, threshold: float, recall: float) -> Dat
     found, large, whole = None, start, []
     for level in range(DEPTH):
         buckets = stage(sized_buckets(_split(large, threshold)))
-        edges = bucket_edges(buckets, classes.select("node", "tokens"), "tokens", alike)
+        # Staged, as the driver would otherwise hold the plans and tasks of all levels in one job.
+        edges = stage(bucket_edges(buckets, classes.select("node", "tokens"), "tokens", alike))
         found = edges if found is None else found.union(edges)
         big = buckets.where(f"size > {LIMIT}").select("path", "node")
         if level + 1 == DEPTH or big.isEmpty():
             whole.append(big)
             break
         big = stage(big.join(classes.select("node", "tokens"), "node"))
-        close = _dense(big)
+        close = stage(_dense(big))
         whole.append(big.join(close, "path").select("path", "node"))
         large = stage(big.join(close, "path", "left_anti"))
     return coarse_groups(found, reduce(DataFrame.union, whole))
