@@ -23,21 +23,23 @@ raises. Every other column of the input is left alone. Repeated rows give repeat
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import keeps, narrow
+from feedlake.llm.common import give_back, keeps, narrow
 
-#: Stretches of text, and of ids, that a Python worker remembers before it starts anew.
-CACHE_ENTRIES = 600_000
+#: Stretches of text, and of ids, that a Python worker remembers before it forgets the rarer ones.
+CACHE_ENTRIES = 400_000
 #: Distinct pieces that one DuckDB query handles.
-BLOCK_PIECES = 40_000
+BLOCK_PIECES = 4_000
 #: Bytes of the pieces that one DuckDB query handles, and of a piece that is done by itself.
 PIECES_BYTES = 1 << 20
 LONG_BYTES = 128
@@ -45,24 +47,27 @@ LONG_BYTES = 128
 ROUND_ROWS = 4_000_000
 #: Bytes of text, and ids, that are handled at once.
 BLOCK_BYTES = 2 << 20
-BLOCK_IDS = 1_000_000
+BLOCK_IDS = 250_000
 
-#: A round per contraction: the rows of every piece that still has a pair to contract.
+#: A round per contraction: the rows of every piece that still has a pair to contract. Each row
+#: knows the token and the place that follow it, so that a round sorts nothing.
 _ENCODE = """
-with recursive contracted(round, piece, pos, token) as (
-    select 0, piece, pos, token from bytes_of_pieces
+with recursive contracted(round, piece, pos, token, follow, next_pos) as (
+    select 0, piece, pos, token, follow, next_pos from bytes_of_pieces
     union all
     select * from (
-        with pairs as (
-            select round, piece, pos, token,
-                   lead(token) over following as next_token, lead(pos) over following as next_pos
-            from contracted window following as (partition by piece order by pos)),
-        least as (
+        with least as (
             select piece, min((merged::bigint << 32) | pos) as chosen, min_by(next_pos, (merged::bigint << 32) | pos) as gone
-            from pairs join merges on token = left_token and next_token = right_token group by piece)
-        select round + 1, piece, pos,
-               case when pos = (chosen & 4294967295) then (chosen >> 32)::integer else token end
-        from pairs join least using (piece) where pos <> gone))
+            from contracted join merges on token = left_token and follow = right_token group by piece),
+        joined as (
+            select l.piece, (chosen & 4294967295)::integer as place, (chosen >> 32)::integer as merged, gone,
+                   c.follow as beyond, c.next_pos as beyond_pos
+            from contracted as c join least as l on c.piece = l.piece and c.pos = l.gone)
+        select round + 1, c.piece, pos,
+               case when pos = place then merged else token end,
+               case when pos = place then beyond when next_pos = place then merged else follow end,
+               case when pos = place then beyond_pos else next_pos end
+        from contracted as c join joined as j on c.piece = j.piece where pos <> gone))
 select round, piece, pos, token from contracted
 """
 
@@ -99,24 +104,48 @@ from ids_of_runs join vocabulary on id = token group by run
 class Store:
     """Sequences of numbers by key, in one growing array."""
 
-    def __init__(self):
+    def __init__(self, kind: type = np.int32):
         self.code: dict = {}
-        self.at, self.held = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.at, self.held, self.uses = np.zeros(1, np.int64), np.zeros(0, kind), np.zeros(0, np.int32)
 
     def put(self, keys: list, flat: np.ndarray, lengths: np.ndarray) -> None:
         first = len(self.code)
         self.code.update(zip(keys, range(first, first + len(keys)), strict=True))
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
         self.held = np.concatenate([self.held, flat])
-
-    def get(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
-        """The sequences of ``keys`` one after another, and the length of each."""
-        codes = np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
+        self.uses = np.concatenate([self.uses, np.zeros(len(keys), np.int32)])
+
+    def codes(self, keys: list, learn: Callable[[list], None]) -> np.ndarray:
+        """Where the sequences of ``keys`` are; ``learn`` puts those that are not held. If there
+        would be too many, only those used most often stay, a third of what fits."""
+        found = np.fromiter(map(self.code.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = {keys[i] for i in np.flatnonzero(found < 0).tolist()}
+        if len(self.code) + len(missing) > CACHE_ENTRIES:
+            self._prune(CACHE_ENTRIES // 3)
+            found = np.fromiter(map(self.code.get, keys, repeat(-1)), np.int64, len(keys))
+            missing = {keys[i] for i in np.flatnonzero(found < 0).tolist()}
+        if missing:
+            learn(list(missing))
+            new = np.flatnonzero(found < 0)
+            found[new] = [self.code[keys[i]] for i in new.tolist()]
+        self.uses[found] += 1
+        return found
+
+    def get(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences of ``codes`` one after another, and the length of each."""
         first = self.at[codes]
         lengths = self.at[codes + 1] - first
         ends = np.cumsum(lengths)
         return self.held[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + lengths, lengths)], lengths
 
+    def _prune(self, most: int) -> None:
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[:most])
+        names, uses = list(self.code), self.uses[stay] // 2
+        held, lengths = self.get(stay)
+        self.__init__(self.held.dtype.type)
+        self.put([names[i] for i in stay.tolist()], held, lengths)
+        self.uses = uses
+
 
 class Codec:
     """One worker's vocabulary, DuckDB connection and memory of stretches."""
@@ -126,7 +155,7 @@ class Codec:
             rows = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in rows}
         self.cut = regex.compile(pattern)
-        self.pieces, self.stretches, self.runs = Store(), Store(), {}
+        self.pieces, self.stretches, self.runs = Store(), Store(), Store(np.uint8)
         top = max(self.ranks.values()) + 1
         self.known, self.spaced, self.single = np.zeros(top, bool), np.zeros(top, bool), np.full(256, -1, np.int32)
         left, right, merged = [], [], []
@@ -179,7 +208,11 @@ class Codec:
             n = np.fromiter(map(len, coded), np.int64, len(coded))
             at = np.concatenate([[0], np.cumsum(n)])
             token = self.single[np.frombuffer(b"".join(coded), np.uint8)]
-            rows = pa.table({"piece": np.repeat(np.arange(len(n), dtype=np.int32), n), "pos": (np.arange(at[-1]) - np.repeat(at[:-1], n)).astype(np.int32), "token": token})
+            follow = np.append(token[1:], np.int32(-1))
+            follow[at[1:] - 1] = -1  # no merge has it
+            pos = (np.arange(at[-1]) - np.repeat(at[:-1], n)).astype(np.int32)
+            piece = np.repeat(np.arange(len(n), dtype=np.int32), n)
+            rows = pa.table({"piece": piece, "pos": pos, "token": token, "follow": follow, "next_pos": pos + np.int32(1)})
             self.db.register("bytes_of_pieces", rows)
             got = {k: np.asarray(v) for k, v in self.db.execute(_ENCODE).fetchnumpy().items()}
             self.db.unregister("bytes_of_pieces")
@@ -190,20 +223,33 @@ class Codec:
             sizes = np.bincount(got["piece"][final], minlength=len(block))
             self.pieces.put(block, got["token"][final].astype(np.int32), sizes)
 
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        ranks = [self.ranks.get(piece.encode(), -1) for piece in pieces]
+        whole = [(piece, rank) for piece, rank in zip(pieces, ranks, strict=True) if rank >= 0]
+        self.pieces.put([piece for piece, _ in whole], np.array([rank for _, rank in whole], np.int32), np.ones(len(whole), np.int64))
+        self._contract([piece for piece, rank in zip(pieces, ranks, strict=True) if rank < 0])
+
     def _learn(self, keys: list[str]) -> None:
         """Puts the ids of the stretches of ``keys`` into the store."""
         cut = [[" " + key] if key.isalpha() else self.cut.findall(key[1:] if key[:1] == " " else " " + key) for key in keys]
-        flat = [piece for one in cut for piece in one]
-        missing = [piece for piece in set(flat) if piece not in self.pieces.code]
-        ranks = [self.ranks.get(piece.encode(), -1) for piece in missing]
-        whole = [(piece, rank) for piece, rank in zip(missing, ranks, strict=True) if rank >= 0]
-        self.pieces.put([piece for piece, _ in whole], np.array([rank for _, rank in whole], np.int32), np.ones(len(whole), np.int64))
-        self._contract([piece for piece, rank in zip(missing, ranks, strict=True) if rank < 0])
-        ids, sizes = self.pieces.get(flat)
+        ids, sizes = self.pieces.get(self.pieces.codes([piece for one in cut for piece in one], self._learn_pieces))
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, cut)])]
         self.stretches.put(keys, ids, np.diff(ends))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn_runs(self, runs: list[int]) -> None:
+        """Puts the bytes of runs of one token or two: the first, and one more than the second or 0."""
+        for i in range(0, len(runs), BLOCK_PIECES):
+            block = np.array(runs[i : i + BLOCK_PIECES], np.int64)
+            pairs = np.stack([block >> 32, (block & 0xFFFFFFFF) - 1], axis=1).astype(np.int32)
+            run, pos = np.nonzero(pairs >= 0)
+            rows = pa.table({"run": run.astype(np.int32), "pos": pos.astype(np.int32), "id": pairs[run, pos]})
+            self.db.register("ids_of_runs", rows)
+            got = self.db.execute(_DECODE).fetchnumpy()
+            self.db.unregister("ids_of_runs")
+            made = [bytes.fromhex(x) for x in got["hex"]]
+            self.runs.put(block[got["run"]].tolist(), np.frombuffer(b"".join(made), np.uint8), np.fromiter(map(len, made), np.int64, len(made)))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the number of ids of each.
 
         A space between two characters that are no white space begins a piece whatever stands
@@ -211,24 +257,36 @@ class Codec:
         is what follows the space; or, for a stretch without one, a space and the stretch. A
         text with other white space beside a space is cut into its pieces.
         """
-        cut = [text.split(" ") if text else [] for text in texts]
-        wanted = {x for one in cut for x in one}
-        uneven = {x for x in wanted if not x or x[0].isspace() or x[-1].isspace()}
-        for i, one in enumerate(cut):
-            if not one:
-                continue
-            if uneven and not uneven.isdisjoint(one):
-                cut[i] = [" " + piece for piece in self.cut.findall(texts[i])]
-            else:
-                one[0] = " " + one[0]
-        flat = [x for one in cut for x in one]
-        wanted = set(flat)
-        missing = [x for x in wanted if x not in self.stretches.code]
-        if len(self.stretches.code) + len(missing) > CACHE_ENTRIES:
-            self.pieces, self.stretches, missing = Store(), Store(), list(wanted)
-        self._learn(missing)
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not len(texts):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        coded = split.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        many = pc.list_value_length(split).to_numpy().astype(np.int64)
+        first = np.cumsum(many) - many
+        words, uneven = coded.dictionary.to_pylist(), _unsure(coded.dictionary)
+        for k in np.flatnonzero(uneven).tolist():
+            uneven[k] = not words[k] or words[k][0].isspace() or words[k][-1].isspace()
+        odd = np.logical_or.reduceat(uneven[which], first)
+        cut = {i: [" " + piece for piece in self.cut.findall(texts[i].as_py() or "")] for i in np.flatnonzero(odd).tolist()}
+        within = ~np.repeat(odd, many)
+        within[first] = False
+        used = np.unique(which[within])
+        leading = [" " + words[k] for k in which[first[~odd]].tolist()]
+        keys = [words[k] for k in used.tolist()] + leading + [piece for one in cut.values() for piece in one]
+        codes = self.stretches.codes(keys, self._learn)
+        many[list(cut)] = [len(one) for one in cut.values()]
+        last = np.cumsum(many)
+        flat, rest = np.empty(last[-1], np.int64), ~np.repeat(odd, many)
+        flat[(last - many)[~odd]] = codes[len(used) : len(used) + len(leading)]
+        flat[~rest] = codes[len(used) + len(leading) :]
+        rest[(last - many)[~odd]] = False
+        of = np.zeros(len(words), np.int64)
+        of[used] = codes[: len(used)]
+        flat[rest] = of[which[within]]
         ids, lengths = self.stretches.get(flat)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, cut)])]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], last])]
         return ids, np.diff(ends)
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
@@ -241,24 +299,15 @@ class Codec:
         begins[at[:-1][lengths > 0]] = True
         place = np.arange(len(ids))
         begins |= (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
-        cuts = np.concatenate([np.flatnonzero(begins), [len(ids)]])
-        held, bounds = ids.tobytes(), (cuts * 4).tolist()
-        runs = [held[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        wanted = set(runs)
-        missing = [run for run in wanted if run not in self.runs]
-        if len(self.runs) + len(missing) > CACHE_ENTRIES:
-            self.runs, missing = {}, list(wanted)
-        for i in range(0, len(missing), BLOCK_PIECES):
-            block = missing[i : i + BLOCK_PIECES]
-            n = np.fromiter(map(len, block), np.int64, len(block)) // 4
-            rows = pa.table({"run": np.repeat(np.arange(len(n), dtype=np.int32), n), "pos": np.arange(n.sum()), "id": np.frombuffer(b"".join(block), np.int32)})
-            self.db.register("ids_of_runs", rows)
-            got = self.db.execute(_DECODE).fetchnumpy()
-            self.db.unregister("ids_of_runs")
-            self.runs.update((block[k], bytes.fromhex(x)) for k, x in zip(got["run"].tolist(), got["hex"], strict=True))
-        first = np.searchsorted(cuts, at).tolist()
-        known = self.runs.__getitem__
-        return [b"".join(map(known, runs[a:b])) for a, b in zip(first, first[1:], strict=False)]
+        cuts = np.flatnonzero(begins)
+        sizes = np.diff(cuts, append=len(ids))
+        after = ids[np.minimum(cuts + 1, max(len(ids) - 1, 0))].astype(np.int64)
+        coded = pa.array((ids[cuts].astype(np.int64) << 32) | np.where(sizes == 2, after + 1, 0)).dictionary_encode()
+        runs = coded.dictionary.to_pylist()
+        out, n = self.runs.get(self.runs.codes(runs, self._learn_runs)[coded.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(cuts, at)].tolist()
+        held = out.tobytes()
+        return [held[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 @lru_cache(maxsize=1)
@@ -270,6 +319,17 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 keeps(codec.cache_clear)
 
 
+def _unsure(words: pa.Array) -> np.ndarray:
+    """Which words are empty or may begin or end with white space, by their first and last bytes."""
+    at, data = (np.frombuffer(b, kind) for b, kind in zip(words.buffers()[1:], (np.int64 if pa.types.is_large_string(words.type) else np.int32, np.uint8), strict=True))
+    at = at[words.offset : words.offset + len(words) + 1]
+    visible = np.zeros(256, bool)
+    visible[0x21:0x7F] = True
+    data = data if len(data) else np.zeros(1, np.uint8)
+    empty, top = at[1:] == at[:-1], len(data) - 1
+    return empty | ~visible[data[np.minimum(at[:-1], top)]] | ~visible[data[np.maximum(at[1:] - 1, 0)]]
+
+
 def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     at, first = np.concatenate([[0], np.cumsum(sizes)]), 0
     while first < len(sizes):
@@ -292,14 +352,16 @@ def encode(
         c = codec(ranks_path, pattern)
         for batch in batches:
             texts = batch.column(1)
-            sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0))
+            sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
             for first, last in _blocks(sizes, BLOCK_BYTES):
-                flat, lengths = c.encode(texts.slice(first, last - first).to_pylist())
+                flat, lengths = c.encode(texts.slice(first, last - first))
                 at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 columns = [batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(at, flat)]
                 if decoded:
-                    columns.append(pa.array(c.decode(flat, lengths), pa.binary()))
+                    made = [x for a, b in _blocks(lengths, BLOCK_IDS) for x in c.decode(flat[at[a] : at[b]], lengths[a:b])]
+                    columns.append(pa.array(made, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [id_col, "ids", "decoded"][: len(columns)])
+            give_back()
 
     kind = rows.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>" + ", decoded binary" * decoded)
@@ -313,7 +375,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         c = codec(ranks_path, pattern)
         for batch in batches:
             lists = batch.column(1)
-            sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
             for first, last in _blocks(sizes, BLOCK_IDS):
                 flat = lists.slice(first, last - first).flatten()
                 if flat.null_count:

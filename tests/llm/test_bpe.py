@@ -89,3 +89,19 @@ def test_rounds_go_on_in_the_next_query(library, monkeypatch):
     for text in ("abracadabraxyzzyquux" * 8, "antidisestablishmentarianism and internationalisation", "aaaaaaaaaaaaaaab"):
         ids, _ = c.encode([text])
         assert ids.tolist() == library.encode_ordinary(text)
+
+
+def test_frequent_words_stay_when_the_store_is_full(library, monkeypatch):
+    monkeypatch.setattr(op, "CACHE_ENTRIES", 30)
+    c = op.Codec(RANKS, P.PATTERN)
+    for i in range(40):
+        texts = ["often again", f"rareword{i}xq unheard{i}of, {i}\n  y", None, "", f" a\n{i}"]
+        ids, lengths = c.encode(texts)
+        assert ids.tolist() == [x for text in texts for x in library.encode_ordinary(text or "")]
+        assert c.decode(ids, lengths) == [(text or "").encode() for text in texts]
+        assert len(c.stretches.code) <= 30 and "again" in c.stretches.code
+
+
+def test_a_round_sorts_nothing():
+    """Windows over all rows of a round took most of the time of the recursive query."""
+    assert " over " not in op._ENCODE
